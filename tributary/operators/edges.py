@@ -17,11 +17,9 @@ from tributary.fixed_values import DATASET_TYPES, TOPIC
 from tributary.functions.identity import cloud_region
 from tributary.schemas import EDGE_COLUMNS, TOPOLOGY_COLUMNS
 
-# Order of builders inside one scope.
-BUILDERS = {
-    "self_managed_connect": 1, "ksql": 2,
-    "connect": 1, "flink": 2, "producer": 3, "group": 4, "tableflow": 5,
-}
+# Order of builders inside one scope. Only self-managed connectors and persistent queries have
+# no environment, so the numbers never clash within a scope.
+BUILDERS = {"connect": 1, "ksql": 2, "flink": 2, "producer": 3, "group": 4, "tableflow": 5}
 
 
 def draft_edges(

@@ -53,21 +53,25 @@ def external_producers(rows: DataFrame, extra_prefixes=()) -> DataFrame:
     )
 
 
-def prefix_anti_join(rows: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
+def prefix_anti_join(rows: DataFrame, prefixes: DataFrame, column: str, salts: int = 16) -> DataFrame:
     """Rows whose `column` starts with none of the values in `prefixes(prefix)`.
 
     Works for prefix tables of any size without comparing every row with every prefix: the
     distinct ids are cut into their own prefixes, those meet the table in an equi-join, and the
-    ids found are removed from the rows with an anti join.
+    ids found are removed from the rows with an anti join. Short prefixes are shared by very many
+    ids, hence the salt on both sides.
     """
     ids = rows.select(F.col(column).alias("_id")).where(F.col("_id").isNotNull()).distinct()
     cuts = ids.select(
-        "_id",
+        "_id", F.pmod(F.hash("_id"), F.lit(salts)).alias("_salt"),
         F.explode(F.transform(
             F.sequence(F.lit(0), F.length("_id")), lambda n: F.substring("_id", F.lit(1), n),
         )).alias("prefix"),
     )
-    matched = cuts.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
+    spread = prefixes.select("prefix").distinct().select(
+        "prefix", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    matched = cuts.join(spread, ["prefix", "_salt"], "left_semi")
     matched = matched.select(F.col("_id").alias(column)).distinct()
     return rows.join(matched, column, "left_anti")
 
