@@ -216,6 +216,7 @@ BLOCKS |= {
         WHERE schema_type = 'JSON'
         UNION ALL SELECT env_id, subject, version, schema_type, '<protobuf>', 1, 0, '<protobuf>', 'protobuf', left(schema_text, 500)
         FROM subjects WHERE schema_type = 'PROTOBUF'""",
+    "part_fields": "SELECT s.partkey, f.field, f.type FROM fields f JOIN subjects s USING (env_id, subject, version)",
     "history": "SELECT cycle, namespace, name, input_topic || '>' || output_topic AS fp FROM job_cycles",
     "first_cycle": "SELECT namespace, name, min(cycle) AS c0 FROM history GROUP BY namespace, name",
     "grid": """
@@ -603,14 +604,12 @@ FINAL: dict[str, str] = {
         SELECT cycle, namespace, name, CASE WHEN name LIKE '%7' AND action = 'SKIP' THEN 'EMIT' ELSE action END AS action FROM actions""",
     "X1_flatten_schemas": "SELECT env_id, subject, version, field, depth, pos, name, type, description FROM fields",
     "X2_schema_drift": """
-        SELECT env_id, subject || '#' || version AS subject, field, old_type, new_type,
+        SELECT 'part-' || partkey AS subject, field, old_type, new_type,
           CASE WHEN old_type IS NULL THEN 'added' WHEN new_type IS NULL THEN 'removed' ELSE 'retyped' END AS change
-        FROM (SELECT coalesce(o.env_id, n.env_id) AS env_id, coalesce(o.subject, n.subject) AS subject,
-                coalesce(o.version, n.version) AS version, coalesce(o.field, n.field) AS field, o.type AS old_type, n.type AS new_type
-              FROM (SELECT f.* REPLACE (f.version + 1 AS version) FROM fields f
-                    WHERE (f.env_id, f.subject, f.version + 1) IN (SELECT env_id, subject, version FROM subjects)) o
-              FULL JOIN (SELECT * FROM fields WHERE version > 0) n
-                ON o.env_id = n.env_id AND o.subject = n.subject AND o.version = n.version AND o.field = n.field)
+        FROM (SELECT coalesce(o.partkey, n.partkey - 1) AS partkey, coalesce(o.field, n.field) AS field,
+                o.type AS old_type, n.type AS new_type
+              FROM part_fields o FULL JOIN (SELECT * FROM part_fields WHERE partkey > 0) n
+                ON o.partkey = n.partkey - 1 AND o.field = n.field)
         WHERE old_type IS DISTINCT FROM new_type""",
 }
 

@@ -1030,11 +1030,17 @@ def _(t: Landed) -> DataFrame:
 
 @query("X2_schema_drift")
 def _(t: Landed) -> DataFrame:
-    """Each version against the one before it."""
-    fields = write_and_reload(registry.flatten_schemas(t.schema_subjects()), "fields")
-    versions = t.schema_subjects().select("env_id", "subject", "version")
-    shifted = fields.withColumn("version", F.col("version") + 1).join(versions, ["env_id", "subject", "version"], "left_semi")
-    later = fields.where("version > 0")
-    keyed = [df.withColumn("subject", F.concat_ws("#", "subject", "version")) for df in (shifted, later)]
-    return registry.schema_drift(*keyed).select(
-        "env_id", "subject", F.array_join("names", ".").alias("field"), "old_type", "new_type", "change")
+    """Every part's schema against the schema of the next part, which is often of another type."""
+    raw = t.view("schema_subjects_raw")
+    subjects = t.schema_subjects().join(raw.select("env_id", "subject", "version", "partkey"), ["env_id", "subject", "version"])
+    own = subjects.select(F.lit("all").alias("env_id"), F.lit("part").alias("subject"),
+                          F.col("partkey").cast("int").alias("version"), "schema_type", "schema_text")
+    fields = write_and_reload(registry.flatten_schemas(own), "fields")
+
+    def keyed(df: DataFrame, version) -> DataFrame:
+        return df.withColumn("subject", F.concat_ws("-", F.col("subject"), version.cast("string")))
+
+    old = keyed(fields, F.col("version"))
+    new = keyed(fields.where("version > 0"), F.col("version") - 1)
+    return registry.schema_drift(old, new).select(
+        "subject", F.array_join("names", ".").alias("field"), "old_type", "new_type", "change")
