@@ -44,3 +44,10 @@ def cycle_key(ts: Column) -> Column:
 
 def floor_minute(ts: Column) -> Column:
     return F.date_trunc("minute", ts)
+
+
+def computed(array: Column) -> Column:
+    """The array as an expression of its own, for use under a generator. For a bare column the
+    optimizer adds size and null checks and pushes them, with whatever computes the array,
+    below the projections: an array found by regular expressions would be computed twice."""
+    return F.concat(array, F.array())

@@ -19,9 +19,9 @@ from tributary.functions.text import non_empty
 from tributary.operators.edges import dataset_endpoints
 from tributary.schemas import JOB_KEY, TOPOLOGY_COLUMNS
 
-# Hex digits per chunk of a dataset hash, and chunks used: sums of 60-bit chunks stay exact in
-# a 38-digit decimal for any realistic row count.
-CHUNK, CHUNKS = 15, 4
+# A dataset hash is added up in chunks of 8 hex digits (32 bits): four of them, each sum exact in
+# a bigint for up to two billion datasets of one job.
+CHUNK, CHUNKS = 8, 4
 
 
 def first_seen_dataset(edges: DataFrame) -> DataFrame:
@@ -61,41 +61,34 @@ def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
     )
 
 
-def fingerprint_sums(side: str) -> list[Column]:
-    """Order-free hash of one side: sums of SHA-256 chunks over its datasets. It is a plain sum,
-    so it combines map-side, and a job with very many datasets never needs them in one list."""
-    digest = F.sha2(F.concat_ws("/", "dataset_namespace", "dataset_name"), 256)
-    return [
-        F.coalesce(
-            F.sum(F.when(
-                F.col("side") == side,
-                F.conv(digest.substr(1 + i * CHUNK, CHUNK), 16, 10).cast("decimal(20,0)"),
-            )),
-            F.lit(0),
-        ).cast("decimal(38,0)").cast("string")
-        for i in range(CHUNKS)
-    ]
+def _dataset_digest() -> Column:
+    return F.sha2(F.concat(
+        F.col("side"), F.lit(":"), F.concat_ws("/", "dataset_namespace", "dataset_name"),
+    ), 256)
 
 
-def fingerprint() -> Column:
-    """Aggregate over a job's event_datasets rows (grouped by job). Facets, times and run ids
-    play no part, so a schema or volume change never re-emits a job."""
-    return F.sha2(
-        F.concat_ws(
-            ",", F.concat_ws("/", F.first("job_namespace"), F.first("job_name")),
-            *fingerprint_sums("input"), *fingerprint_sums("output"),
-        ),
-        256,
-    )
+def _fingerprint(digest: str) -> Column:
+    """Aggregate for rows grouped by job: a hash over the job key and the order-free sums of its
+    datasets' hash chunks. Sums combine map-side, so a job with very many datasets never needs
+    them in one list. Facets, times and run ids play no part, so a schema or volume change never
+    re-emits a job."""
+    sums = [
+        F.sum(F.conv(F.col(digest).substr(1 + i * CHUNK, CHUNK), 16, 10).cast("bigint")).cast("string")
+        for i in range(CHUNKS)
+    ]
+    return F.sha2(F.concat_ws(",", F.concat_ws("/", "job_namespace", "job_name"), *sums), 256)
 
 
 def job_events(datasets: DataFrame, cycle: str | Column = "default") -> DataFrame:
     """One COMPLETE event per job: counts, topology, fingerprint and run id."""
     cycle = F.lit(cycle) if isinstance(cycle, str) else cycle
-    grouped = datasets.groupBy(*JOB_KEY, "kafka_bootstrap", *TOPOLOGY_COLUMNS).agg(
+    hashed = datasets.select(
+        *JOB_KEY, "kafka_bootstrap", *TOPOLOGY_COLUMNS, "side", _dataset_digest().alias("_digest"),
+    )
+    grouped = hashed.groupBy(*JOB_KEY, "kafka_bootstrap", *TOPOLOGY_COLUMNS).agg(
         F.count_if(F.col("side") == "input").alias("n_inputs"),
         F.count_if(F.col("side") == "output").alias("n_outputs"),
-        fingerprint().alias("fingerprint"),
+        _fingerprint("_digest").alias("fingerprint"),
     )
     return grouped.withColumns({
         "event_type": F.lit("COMPLETE"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.fixed_values import ACTIVE_STATEMENT_STATES, TOPIC
 from tributary.functions import sqlrefs
+from tributary.functions.text import computed
 from tributary.operators.edges import draft_edges
 
 
@@ -30,8 +31,12 @@ def cross_io(jobs: DataFrame) -> DataFrame:
     """Each input with each output of the same row. The arrays come from one row, so this is two
     generators in a row: nothing is shuffled and no two rows ever meet."""
     kept = [c for c in jobs.columns if c not in ("inputs", "outputs")]
-    left = jobs.select(*kept, "outputs", F.posexplode("inputs").alias("pos_in", "input"))
-    return left.select(*kept, "pos_in", "input", F.posexplode("outputs").alias("pos_out", "output"))
+    left = jobs.select(
+        *kept, "outputs", F.posexplode(computed(F.col("inputs"))).alias("pos_in", "input"),
+    )
+    return left.select(
+        *kept, "pos_in", "input", F.posexplode(computed(F.col("outputs"))).alias("pos_out", "output"),
+    )
 
 
 def flink_edges(statements: DataFrame) -> DataFrame:

@@ -161,6 +161,7 @@ def run_cycle(
     opt = opt or Options()
     spark: SparkSession = inv.env_dim.sparkSession
     graph = build_graph(inv, opt)
+    graph.edges = write_and_reload(graph.edges, "edges")
     datasets = write_and_reload(events.event_datasets(graph.edges, opt.fallback_bootstrap), "datasets")
     jobs = write_and_reload(events.job_events(datasets, cycle), "jobs")
     if force is None:

@@ -144,17 +144,14 @@ BLOCKS |= {
           f.dataset_name, j.kafka_bootstrap, j.env_id, j.env_name, j.cluster_id, j.cluster_name, j.cloud, j.region
         FROM first_seen f JOIN job_topo j USING ({JOB})""",
     "hashed": """
-        SELECT *, sha256(dataset_namespace || '/' || dataset_name) AS h FROM event_datasets""",
+        SELECT *, sha256(side || ':' || dataset_namespace || '/' || dataset_name) AS h FROM event_datasets""",
     "job_sums": f"""
         SELECT {JOB}, {TOPO}, kafka_bootstrap,
           count(*) FILTER (WHERE side = 'input') AS n_inputs, count(*) FILTER (WHERE side = 'output') AS n_outputs, """
-        + ", ".join(
-            f"coalesce(sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT) FILTER (WHERE side = '{s}'), 0)::VARCHAR AS {s}_{i}"
-            for s in ("input", "output") for i in range(4)) + f"""
+        + ", ".join(f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT)::VARCHAR AS s{i}" for i in range(4)) + f"""
         FROM hashed GROUP BY {JOB}, {TOPO}, kafka_bootstrap""",
     "jobs": """
-        SELECT *, sha256(concat_ws(',', job_namespace || '/' || job_name, input_0, input_1, input_2, input_3,
-            output_0, output_1, output_2, output_3)) AS fingerprint,
+        SELECT *, sha256(concat_ws(',', job_namespace || '/' || job_name, s0, s1, s2, s3)) AS fingerprint,
           sha256(job_namespace || ':' || job_name || ':' || '%s') AS rh FROM job_sums""" % CYCLE,
     "throughput": """
         SELECT cluster_id, topic, """ + ", ".join(

@@ -213,7 +213,7 @@ def _edges(t: Landed) -> DataFrame:
 
 
 def _event_datasets(t: Landed) -> DataFrame:
-    return events.event_datasets(_edges(t), FALLBACK_BOOTSTRAP)
+    return events.event_datasets(write_and_reload(_edges(t), "edges"), FALLBACK_BOOTSTRAP)
 
 
 def _jobs(t: Landed) -> DataFrame:
@@ -424,8 +424,10 @@ def _(t: Landed) -> DataFrame:
 
 @query("P22_facet_filter")
 def _(t: Landed) -> DataFrame:
-    jobs = edges.facet_filter(_jobs(t), env_id="env-1").select("job_namespace", "job_name", F.lit("job").alias("what"))
-    data = edges.facet_filter(_event_datasets(t), region="zone-2").select(
+    datasets = write_and_reload(_event_datasets(t), "datasets")
+    jobs = edges.facet_filter(events.job_events(datasets, CYCLE), env_id="env-1").select(
+        "job_namespace", "job_name", F.lit("job").alias("what"))
+    data = edges.facet_filter(datasets, region="zone-2").select(
         "dataset_namespace", "dataset_name", F.lit("dataset")).distinct()
     return jobs.union(data)
 
@@ -540,7 +542,7 @@ def _(t: Landed) -> DataFrame:
 
 @query("J11_job_dependencies")
 def _(t: Landed) -> DataFrame:
-    return graph.job_dependencies(_event_datasets(t))
+    return graph.job_dependencies(write_and_reload(_event_datasets(t), "datasets"))
 
 
 @query("J12_prefix_anti_join")
@@ -552,7 +554,8 @@ def _(t: Landed) -> DataFrame:
 
 @query("J13_stamp_event_facets")
 def _(t: Landed) -> DataFrame:
-    rows = _event_datasets(t).withColumn("facets", events.dataset_facets(_event_datasets(t)))
+    rows = _event_datasets(t)
+    rows = rows.withColumn("facets", events.dataset_facets(rows))
     return rows.select(*JOB_KEY, "side", "dataset_namespace", "dataset_name", "facets.confluent.*")
 
 
@@ -622,7 +625,7 @@ def _(t: Landed) -> DataFrame:
 
 @query("A11_topology_rollup")
 def _(t: Landed) -> DataFrame:
-    return rollups.topology_rollup(_event_datasets(t))
+    return rollups.topology_rollup(write_and_reload(_event_datasets(t), "datasets"))
 
 
 @query("A12_metric_minute_rollup")

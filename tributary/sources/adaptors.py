@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # view -> (table, filter or None, {column: expression})
 VIEWS: dict[str, tuple[str, str | None, dict[str, str]]] = {
@@ -185,6 +186,10 @@ def view_sql(name: str) -> str:
     return f"SELECT {body} FROM {table}" + (f" WHERE {where}" if where else "")
 
 
+# Schemas already read from a file footer; a schema given up front saves a job per read.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Landed:
     """The views of one data folder as DataFrames."""
 
@@ -192,7 +197,10 @@ class Landed:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def view(self, name: str) -> DataFrame:
         table, where, columns = VIEWS[name]
