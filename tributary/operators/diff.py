@@ -155,7 +155,10 @@ def diff_history(job_cycles: DataFrame, health: DataFrame, block: int = BLOCK) -
         p.alias("at_pos"),
     ))
     placed = rows.select(*keys, F.inline(F.concat(marks, held)))
-    # Positions become cycles again; rows that already have their cycle find no partner.
+    # Positions become cycles again. Rows that know their cycle need no partner; they get
+    # positions below zero, which match nothing and are spread over all partitions.
+    nowhere = -1 - F.pmod(F.xxhash64("name", "at"), F.lit(1 << 20))
+    placed = placed.withColumn("at_pos", F.coalesce("at_pos", nowhere))
     calendar = outlook.select("namespace", F.col("pos").alias("at_pos"), F.col("cycle").alias("_cycle"))
     return placed.join(calendar, ["namespace", "at_pos"], "left").select(
         F.coalesce("at", "_cycle").alias("cycle"), *keys, "action",

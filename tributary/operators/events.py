@@ -134,17 +134,24 @@ def _source_column(facet: str) -> str:
 
 def run_event_documents(
     jobs: DataFrame, datasets: DataFrame, *, cycle: str, event_time: str, producer: str,
-    datasets_per_document: int = 10_000,
+    datasets_per_document: int = 10_000, bytes_per_document: int = 16 << 20,
 ) -> DataFrame:
-    """Nested documents, one per job. A job with more than `datasets_per_document` datasets is
-    written as several documents of about that size with the same run id: each dataset appears
-    in exactly one, so the run's inputs and outputs are their union. Lists are sorted by
-    namespace and name; an empty list becomes NULL."""
+    """Nested documents, one per job. A job whose document would hold more than
+    `datasets_per_document` datasets or `bytes_per_document` of schema text is written as several
+    documents of about that size with the same run id: each dataset appears in exactly one, so
+    the run's inputs and outputs are their union. Lists are sorted by namespace and name; an empty
+    list becomes NULL. `datasets` is read twice, so hand in a written table."""
+    text = F.length("schema.fields_json") if "schema" in datasets.columns else F.lit(None)
+    size = datasets.groupBy(*JOB_KEY).agg(
+        F.count("*").alias("_n"), F.sum(F.coalesce(text, F.lit(0)).cast("bigint")).alias("_bytes"),
+    )
     sized = datasets.join(
-        jobs.select(*JOB_KEY, (F.col("n_inputs") + F.col("n_outputs")).alias("_n"), "run_id"),
-        list(JOB_KEY),
+        jobs.select(*JOB_KEY, "run_id").join(size, list(JOB_KEY)), list(JOB_KEY),
+    )
+    parts = F.greatest(
+        F.ceil(F.col("_n") / F.lit(datasets_per_document)),
+        F.ceil(F.col("_bytes") / F.lit(bytes_per_document)),
     )
-    parts = F.ceil(F.col("_n") / F.lit(datasets_per_document))
     part = F.pmod(F.xxhash64("side", "dataset_namespace", "dataset_name"), parts)
     entry = F.struct(
         F.col("dataset_namespace").alias("namespace"), F.col("dataset_name").alias("name"),

@@ -134,7 +134,7 @@ def documents(
         graph.topic_throughput, opt.topic_merge,
     )
     complete = events.run_event_documents(
-        jobs, rows, cycle=cycle, event_time=event_time, producer=opt.producer,
+        jobs, write_and_reload(rows, "faceted"), cycle=cycle, event_time=event_time, producer=opt.producer,
     )
     removed = events.abort_documents(
         changes.where(F.col("action") == diff.ABORT), cycle=cycle, event_time=event_time,
@@ -154,7 +154,7 @@ def run_cycle(
 ) -> DataFrame:
     """Run one cycle and return its one-row statistics.
 
-    `health` has (namespace, ok); `force` defaults to true when no state exists yet;
+    `health` has (namespace, ok), and a known namespace without a row counts as failed; `force` defaults to true when no state exists yet;
     `undelivered` maps the emitted keys to those whose delivery failed (None: all arrived).
     State is published last, so a failed cycle leaves nothing behind and can be repeated.
     """
@@ -167,9 +167,9 @@ def run_cycle(
     if force is None:
         force = state_store.published_cycle(spark, state_path, before=cycle) is None
     known = state_store.read_state(spark, state_path, before=cycle)
-    changes = write_and_reload(
-        diff.diff_cycle(jobs, known, diff.failed_namespaces(health), force), "changes",
-    )
+    expected = known.select(F.col("job_namespace").alias("namespace"))
+    failed = diff.failed_namespaces(diff.expected_health(health, expected))
+    changes = write_and_reload(diff.diff_cycle(jobs, known, failed, force), "changes")
     run_events.write_run_events(
         documents(graph, jobs, datasets, changes, cycle=cycle, event_time=event_time, opt=opt),
         events_path,

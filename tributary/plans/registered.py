@@ -231,6 +231,7 @@ def _documents(t: Landed) -> DataFrame:
         datasets, t.env_dim(), metadata=t.topic_metadata(),
         throughput=usage.topic_throughput(t.metric_rows()),
     )
+    rows = write_and_reload(rows, "faceted")
     return events.run_event_documents(jobs, rows, cycle=CYCLE, event_time=EVENT_TIME, producer="tributary")
 
 
