@@ -90,7 +90,7 @@ def graph_topics(edges: DataFrame) -> DataFrame:
     )
 
 
-def dataset_endpoints(edges: DataFrame, *keep: str) -> DataFrame:
+def dataset_endpoints(edges: DataFrame, *keep: str, types: tuple[str, ...] = DATASET_TYPES) -> DataFrame:
     """Both ends of every edge as rows (side, dataset_type, dataset_name, declared namespace);
     external systems and consumer groups are not datasets and fall away."""
     end = F.array(
@@ -105,7 +105,7 @@ def dataset_endpoints(edges: DataFrame, *keep: str) -> DataFrame:
             F.col("target_namespace").alias("declared_namespace"),
         ),
     )
-    wanted = F.filter(end, lambda e: e["dataset_type"].isin(*DATASET_TYPES))
+    wanted = F.filter(end, lambda e: e["dataset_type"].isin(*types))
     return edges.select("job_namespace", "job_name", "job_type", *keep, F.inline(wanted))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.fixed_values import TABLE, TOPIC
+from tributary.fixed_values import DATASET_TYPES, TABLE, TOPIC
 from tributary.functions.identity import (
     abort_run_id, job_type_facet, stable_run_id, table_namespace, topic_namespace,
 )
@@ -24,9 +24,9 @@ from tributary.schemas import JOB_KEY, TOPOLOGY_COLUMNS
 CHUNK, CHUNKS = 8, 4
 
 
-def first_seen_dataset(edges: DataFrame) -> DataFrame:
+def first_seen_dataset(edges: DataFrame, types: tuple[str, ...] = DATASET_TYPES) -> DataFrame:
     """Distinct datasets per job and side; the first edge's declared namespace wins."""
-    ends = dataset_endpoints(edges, "edge_seq")
+    ends = dataset_endpoints(edges, "edge_seq", types=types)
     return ends.groupBy(*JOB_KEY, "side", "dataset_type", "dataset_name").agg(
         F.min_by("declared_namespace", "edge_seq").alias("declared_namespace"),
         F.min("edge_seq").alias("first_seq"),
@@ -49,7 +49,11 @@ def job_topology(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
 
 def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
     """One row per (job, side, dataset) with the dataset namespace and the job's topology."""
-    named = first_seen_dataset(edges).join(job_topology(edges, fallback_bootstrap), list(JOB_KEY))
+    # Topics never declare a namespace, so they need no order, only a hash-based distinct.
+    columns = [*JOB_KEY, "side", "dataset_type", "dataset_name", "declared_namespace"]
+    found = dataset_endpoints(edges, types=(TOPIC,)).select(*columns).distinct().unionByName(
+        first_seen_dataset(edges, types=(TABLE,)).select(*columns))
+    named = found.join(job_topology(edges, fallback_bootstrap), list(JOB_KEY))
     namespace = (
         F.when(F.col("dataset_type") == TOPIC, topic_namespace(F.col("kafka_bootstrap")))
         .when(F.col("side") == "input", F.col("job_namespace"))
@@ -57,7 +61,7 @@ def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
     )
     return named.select(
         *JOB_KEY, "side", "dataset_type", namespace.alias("dataset_namespace"), "dataset_name",
-        "kafka_bootstrap", *TOPOLOGY_COLUMNS, "first_seq",
+        "kafka_bootstrap", *TOPOLOGY_COLUMNS,
     )
 
 

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.fixed_values import PROTOBUF_DESCRIPTION_CHARS
-from tributary.functions.text import non_empty
-from tributary.session import write_and_reload
+from tributary.session import spread, write_and_reload
 
 SUBJECT = ["env_id", "subject", "version"]
 FIELD_COLUMNS = [*SUBJECT, "path", "names", "depth", "pos", "name", "type", "description"]
@@ -27,120 +26,103 @@ def latest_schema_version(subjects: DataFrame) -> DataFrame:
     ).select("env_id", "subject", "r.*")
 
 
-# --- JSON helpers: nodes travel as JSON text whose first character tells their kind -----------
+# --- JSON nodes travel as JSON text; the first character tells their kind -----------------------
+#
+# Rounds are written as SQL text: one parse instead of hundreds of calls per round.
 
-def _json_at(v: Column, path: str) -> Column:
-    return F.to_json(F.try_variant_get(v, path, "variant"))
+def _json_at(v: str, path: str) -> str:
+    return f"to_json(try_variant_get({v}, '{path}', 'variant'))"
 
 
-def _text_at(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string")
+def _text_at(v: str, path: str) -> str:
+    return f"try_variant_get({v}, '{path}', 'string')"
 
 
-def _items_at(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "array<variant>")
+def _items_at(v: str, path: str) -> str:
+    return f"try_variant_get({v}, '{path}', 'array<variant>')"
 
 
-def _is(node: Column, opening: str) -> Column:
-    return F.coalesce(node.startswith(opening), F.lit(False))
+def _string_at(v: str, path: str) -> str:
+    """The text at a path if it is a JSON string, else NULL."""
+    return f"CASE WHEN startswith({_json_at(v, path)}, '\"') THEN {_text_at(v, path)} END"
 
 
 # --- Avro ---------------------------------------------------------------------------------------
 
-_NODE = (
-    "array<struct<status: string, path: array<int>, names: array<string>, description: string,"
-    " ord: array<int>, pre: string, node: string, suf: string, live: boolean>>"
-)
+def _node(status: str, path="path", names="names", about="description", ord_="ord", pre="pre",
+          node="CAST(NULL AS STRING)", suf="''", live="live") -> str:
+    return (
+        f"named_struct('status', '{status}', 'path', {path}, 'names', {names}, 'description', {about},"
+        f" 'ord', {ord_}, 'pre', {pre}, 'node', {node}, 'suf', {suf}, 'live', {live})"
+    )
+
+
+def _done(text: str) -> str:
+    return f"array({_node('done', pre=f'concat(pre, coalesce({text}, {chr(39) * 2}), suf)')})"
 
 
-def _node(status, path, names, description, ord_, pre, node, suf, live) -> Column:
-    values = dict(status=status, path=path, names=names, description=description, ord=ord_,
-                  pre=pre, node=node, suf=suf, live=live)
-    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(n) for n, v in values.items()])
+def _go_on(child: str, before: str = "", after: str = "") -> str:
+    return f"array({_node('open', pre=f'concat(pre, {before!r})', node=child, suf=f'concat({after!r}, suf)')})"
 
 
-def _record_fields(record: Column, path: Column, names: Column) -> Column:
+def _record_fields(record: str, path: str, names: str) -> str:
     """Open nodes for the named fields of a record, in order."""
-    fields = F.transform(
-        _items_at(record, "$.fields"),
-        lambda f, i: F.struct(
-            F.when(_is(F.to_json(f), "{"), _text_at(f, "$.name")).alias("name"),
-            _node(
-                "open", F.concat(path, F.array(i)), F.concat(names, F.array(_text_at(f, "$.name"))),
-                _text_at(f, "$.doc"), F.array().cast("array<int>"), "", _json_at(f, "$.type"), "", True,
-            ).alias("open"),
-        ),
+    named = (
+        f"filter({_items_at(record, '$.fields')},"
+        f" f -> startswith(to_json(f), '{{') AND coalesce({_text_at('f', '$.name')}, '') <> '')"
     )
-    named = F.filter(fields, lambda f: non_empty(f["name"]).isNotNull())
-    return F.coalesce(F.transform(named, lambda f: f["open"]), F.array().cast(_NODE)).cast(_NODE)
+    node = _node(
+        "open", f"concat({path}, array(i))", f"concat({names}, array({_text_at('f', '$.name')}))",
+        _text_at("f", "$.doc"), "CAST(array() AS array<int>)", "''", _json_at("f", "$.type"), "''", "true",
+    )
+    return f"coalesce(transform({named}, (f, i) -> {node}), array())"
+
+
+_UNION = "transform(branches, (x, i) -> " + _node(
+    "open", ord_="concat(ord, array(i))",
+    pre="CASE WHEN i = 0 THEN concat(pre, 'union<') ELSE ' | ' END", node="x",
+    suf="CASE WHEN i = size(branches) - 1 THEN concat('>', suf) ELSE '' END", live="false",
+) + ")"
+
+_AVRO_STEP = f"""
+    CASE
+      WHEN startswith(node, '"') THEN {_done(_text_at('v', '$'))}
+      WHEN size(known) = 1 THEN {_go_on('known[0]')}
+      WHEN size(branches) = 0 THEN {_done("'union<>'")}
+      WHEN branches IS NOT NULL THEN {_UNION}
+      WHEN kind = 'record' THEN concat(
+        {_done(f"concat('record<', coalesce({_text_at('v', '$.name')}, ''), '>')")},
+        CASE WHEN live THEN {_record_fields('v', 'path', 'names')} ELSE array() END)
+      WHEN kind = 'array' THEN {_go_on(_json_at('v', '$.items'), 'array<', '>')}
+      WHEN kind = 'map' THEN {_go_on(_json_at('v', '$.values'), 'map<string,', '>')}
+      WHEN kind = 'enum' THEN {_done(
+        "concat('enum<', coalesce(array_join(try_variant_get(v, '$.symbols', 'array<string>'), ','), ''), '>')")}
+      WHEN kind = 'fixed' THEN {_done(f"concat('fixed<', coalesce({_text_at('v', '$.size')}, '?'), '>')")}
+      WHEN kind IS NOT NULL THEN {_done(
+        f"concat(kind, coalesce(concat('(', nullif({_text_at('v', '$.logicalType')}, ''), ')'), ''))")}
+      ELSE {_done("'unknown'")}
+    END"""
 
 
 def _avro_round(frontier: DataFrame) -> DataFrame:
-    rows = frontier.withColumn("v", F.try_parse_json("node"))
-    node, v = F.col("node"), F.col("v")
-    pre, suf, live = F.col("pre"), F.col("suf"), F.col("live")
-    path, names, about, ord_ = (F.col(c) for c in ("path", "names", "description", "ord"))
-
-    def done(text: Column) -> Column:
-        full = F.concat(pre, F.coalesce(text, F.lit("")), suf)
-        return F.array(_node("done", path, names, about, ord_, full, F.lit(None).cast("string"), "", live))
-
-    def go_on(child: Column, more_pre: str = "", more_suf: str = "") -> Column:
-        return F.array(_node("open", path, names, about, ord_, F.concat(pre, F.lit(more_pre)), child,
-                             F.concat(F.lit(more_suf), suf), live))
-
-    branches = F.transform(_items_at(v, "$"), lambda x: F.to_json(x))
-    known = F.filter(branches, lambda x: x != '"null"')
-    last = F.size(branches) - 1
-    union = F.transform(branches, lambda x, i: _node(
-        "open", path, names, about, F.concat(ord_, F.array(i)),
-        F.when(i == 0, F.concat(pre, F.lit("union<"))).otherwise(F.lit(" | ")), x,
-        F.when(i == last, F.concat(F.lit(">"), suf)).otherwise(F.lit("")), False,
-    ))
-    from_list = (
-        F.when(F.size(known) == 1, go_on(F.try_element_at(known, F.lit(1))).cast(_NODE))
-        .when(F.size(branches) == 0, done(F.lit("union<>")).cast(_NODE))
-        .otherwise(union.cast(_NODE))
-    )
-    kind = F.when(_is(_json_at(v, "$.type"), '"'), _text_at(v, "$.type"))
-    record = F.concat(
-        done(F.concat(F.lit("record<"), F.coalesce(_text_at(v, "$.name"), F.lit("")), F.lit(">"))).cast(_NODE),
-        F.when(live, _record_fields(v, path, names)).otherwise(F.array().cast(_NODE)),
-    )
-    symbols = F.array_join(F.try_variant_get(v, "$.symbols", "array<string>"), ",")
-    enum = F.concat(F.lit("enum<"), F.coalesce(symbols, F.lit("")), F.lit(">"))
-    fixed = F.concat(F.lit("fixed<"), F.coalesce(_text_at(v, "$.size"), F.lit("?")), F.lit(">"))
-    logical = non_empty(_text_at(v, "$.logicalType"))
-    plain = F.when(logical.isNotNull(), F.concat(kind, F.lit("("), logical, F.lit(")"))).otherwise(kind)
-    from_object = (
-        F.when(kind.isNull(), done(F.lit("unknown")).cast(_NODE))
-        .when(kind == "record", record)
-        .when(kind == "array", go_on(_json_at(v, "$.items"), "array<", ">").cast(_NODE))
-        .when(kind == "map", go_on(_json_at(v, "$.values"), "map<string,", ">").cast(_NODE))
-        .when(kind == "enum", done(enum).cast(_NODE))
-        .when(kind == "fixed", done(fixed).cast(_NODE))
-        .otherwise(done(plain).cast(_NODE))
-    )
-    result = (
-        F.when(_is(node, '"'), done(_text_at(v, "$")).cast(_NODE))
-        .when(_is(node, "["), from_list)
-        .when(_is(node, "{"), from_object)
-        .otherwise(done(F.lit("unknown")).cast(_NODE))
-    )
-    return rows.select(*SUBJECT, F.inline(result))
+    """Finish each open node or replace it by the nodes one level down."""
+    rows = frontier.selectExpr("*", "try_parse_json(node) AS v").selectExpr(
+        "*",
+        f"CASE WHEN startswith(node, '{{') THEN {_string_at('v', '$.type')} END AS kind",
+        f"CASE WHEN startswith(node, '[') THEN transform({_items_at('v', '$')}, x -> to_json(x)) END AS branches",
+    ).selectExpr("*", """filter(branches, x -> x <> '"null"') AS known""")
+    return rows.selectExpr(*SUBJECT, f"inline({_AVRO_STEP})")
 
 
 def _avro_fields(subjects: DataFrame) -> DataFrame:
     """Fields of top-level records. A type is rendered in pieces: arrays, maps and single unions
     extend the text around their inner type, a wider union opens one piece per branch, ordered by
     `ord`. Nested fields are followed except below a wider union."""
-    top = subjects.where(F.col("schema_type") == "AVRO").select(
-        *SUBJECT, F.try_parse_json("schema_text").alias("v"),
-    ).where(_is(_json_at(F.col("v"), "$.type"), '"') & (_text_at(F.col("v"), "$.type") == "record"))
-    no_path, no_names = F.array().cast("array<int>"), F.array().cast("array<string>")
-    table = write_and_reload(
-        top.select(*SUBJECT, F.inline(_record_fields(F.col("v"), no_path, no_names))), "avro-0",
-    )
+    top = subjects.where(F.col("schema_type") == "AVRO").selectExpr(
+        *SUBJECT, "try_parse_json(schema_text) AS v",
+    ).where(f"{_string_at('v', '$.type')} = 'record'")
+    fields = _record_fields("v", "CAST(array() AS array<int>)", "CAST(array() AS array<string>)")
+    table = write_and_reload(top.selectExpr(*SUBJECT, f"inline({fields})"), "avro-0")
     tables = []
     while True:
         frontier = table.where(F.col("status") == "open")
@@ -171,68 +153,62 @@ def _with_position(fields: DataFrame) -> DataFrame:
 
 # --- JSON Schema --------------------------------------------------------------------------------
 
-def _python_list(v: Column, path: str) -> Column:
-    """How a list of type names prints."""
-    quoted = F.transform(_items_at(v, path), lambda x: F.when(
-        _is(F.to_json(x), '"'), F.concat(F.lit("'"), _text_at(x, "$"), F.lit("'")),
-    ).otherwise(F.to_json(x)))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+# How a list of type names prints.
+_PRINTED_LIST = (
+    f"concat('[', array_join(transform({_items_at('v', '$.items.type')}, x ->"
+    f" CASE WHEN startswith(to_json(x), '\"') THEN concat('\\'', {_text_at('x', '$')}, '\\'') ELSE to_json(x) END), ', '), ']')"
+)
+_PROPERTY_TYPE = f"""
+    CASE
+      WHEN own IS NULL THEN 'unknown' WHEN own = 'null' THEN 'None'
+      WHEN startswith(own, '[') THEN array_join(transform({_items_at('v', '$.type')}, x ->
+        CASE WHEN to_json(x) = 'null' THEN 'None' ELSE {_text_at('x', '$')} END), ' | ')
+      WHEN startswith(own, '"') THEN {_text_at('v', '$.type')} ELSE own
+    END"""
+_ITEM_TYPE = f"""
+    CASE
+      WHEN NOT startswith(items, '{{') THEN 'unknown' WHEN item IS NULL OR item = 'null' THEN 'None'
+      WHEN startswith(item, '"') THEN {_text_at('v', '$.items.type')}
+      WHEN startswith(item, '[') THEN {_PRINTED_LIST} ELSE item
+    END"""
+_CHILD = """
+    CASE
+      WHEN ptype = 'object' THEN get_json_object(raw, '$.properties')
+      WHEN ptype = 'array' AND item = '"object"' THEN get_json_object(raw, '$.items.properties')
+    END"""
 
 
 def _json_round(frontier: DataFrame) -> DataFrame:
     """Properties of each open object, in the order of the text. Two maps are read from the same
     text: one keeps nested text as it is, the other tells strings from objects."""
-    entries = frontier.select(
-        *SUBJECT, F.col("path").alias("above"), F.col("names").alias("names_above"),
-        F.from_json("props", "map<string,string>").alias("raw"),
-        F.from_json("props", "map<string,variant>").alias("typed"),
-    ).select(
+    entries = frontier.selectExpr(
+        *SUBJECT, "path AS above", "names AS names_above",
+        "from_json(props, 'map<string,string>') AS raw", "from_json(props, 'map<string,variant>') AS typed",
+    ).selectExpr(
         *SUBJECT, "above", "names_above",
-        F.posexplode(F.arrays_zip(
-            F.map_keys("raw").alias("name"), F.map_values("raw").alias("raw"),
-            F.transform(F.map_values("typed"), lambda x: F.to_json(x)).alias("kind"),
-        )).alias("pos", "e"),
-    ).where(_is(F.col("e.kind"), "{"))
-    rows = entries.select(
-        *SUBJECT, F.concat("above", F.array("pos")).alias("path"),
-        F.concat("names_above", F.array("e.name")).alias("names"),
-        F.col("e.raw").alias("raw"), F.try_parse_json("e.raw").alias("v"),
-    )
-    v, raw = F.col("v"), F.col("raw")
-    own = _json_at(v, "$.type")
-    listed = F.array_join(F.transform(_items_at(v, "$.type"), lambda x: F.when(
-        F.to_json(x) == "null", F.lit("None")).otherwise(_text_at(x, "$"))), " | ")
-    ptype = (
-        F.when(own.isNull(), F.lit("unknown")).when(own == "null", F.lit("None"))
-        .when(_is(own, "["), listed).when(_is(own, '"'), _text_at(v, "$.type")).otherwise(own)
-    )
-    items, item = _json_at(v, "$.items"), _json_at(v, "$.items.type")
-    item_type = (
-        F.when(items.isNotNull() & ~_is(items, "{"), F.lit("unknown"))
-        .when(item.isNull() | (item == "null"), F.lit("None"))
-        .when(_is(item, '"'), _text_at(v, "$.items.type"))
-        .when(_is(item, "["), _python_list(v, "$.items.type")).otherwise(item)
-    )
-    child = (
-        F.when(F.col("ptype") == "object", F.get_json_object(raw, "$.properties"))
-        .when((F.col("ptype") == "array") & (item == '"object"'),
-              F.get_json_object(raw, "$.items.properties"))
-    )
-    return rows.withColumn("ptype", ptype).select(
+        "posexplode(transform(map_keys(raw), (k, i) -> named_struct("
+        "'name', k, 'raw', map_values(raw)[i], 'kind', to_json(map_values(typed)[i])))) AS (pos, e)",
+    ).where("startswith(e.kind, '{')")
+    rows = entries.selectExpr(
+        *SUBJECT, "concat(above, array(pos)) AS path", "concat(names_above, array(e.name)) AS names",
+        "e.raw AS raw", "try_parse_json(e.raw) AS v",
+    ).selectExpr(
+        "*", f"{_json_at('v', '$.type')} AS own", f"{_json_at('v', '$.items')} AS items",
+        f"{_json_at('v', '$.items.type')} AS item",
+    ).selectExpr("*", f"{_PROPERTY_TYPE} AS ptype").selectExpr("*", f"{_CHILD} AS child")
+    return rows.selectExpr(
         *SUBJECT, "path", "names",
-        F.when(F.col("ptype") == "array", F.concat(F.lit("array<"), item_type, F.lit(">")))
-        .otherwise(F.col("ptype")).alias("type"),
-        _text_at(v, "$.description").alias("description"),
-        F.when(_is(child, "{"), child).alias("props"),
+        f"CASE WHEN ptype = 'array' THEN concat('array<', {_ITEM_TYPE}, '>') ELSE ptype END AS type",
+        f"{_text_at('v', '$.description')} AS description",
+        "CASE WHEN startswith(child, '{') THEN child END AS props",
     )
 
 
 def _json_fields(subjects: DataFrame) -> DataFrame:
-    whole = F.get_json_object("schema_text", "$.properties")
-    frontier = subjects.where(F.col("schema_type") == "JSON").select(
-        *SUBJECT, F.array().cast("array<int>").alias("path"),
-        F.array().cast("array<string>").alias("names"), whole.alias("props"),
-    ).where(_is(F.col("props"), "{") & F.try_parse_json("schema_text").isNotNull())
+    frontier = subjects.where(F.col("schema_type") == "JSON").selectExpr(
+        *SUBJECT, "CAST(array() AS array<int>) AS path", "CAST(array() AS array<string>) AS names",
+        "get_json_object(schema_text, '$.properties') AS props", "try_parse_json(schema_text) AS v",
+    ).where("startswith(props, '{') AND v IS NOT NULL").drop("v")
     tables = []
     while True:
         table = write_and_reload(_json_round(frontier), f"json-{len(tables)}")
@@ -258,6 +234,7 @@ def flatten_schemas(subjects: DataFrame) -> DataFrame:
     """Every field of every schema: (env_id, subject, version, path, names, depth, pos, name, type,
     description). `path` holds positions, `names` the field names from the top. Texts that do not
     parse, and schemas that are not records or objects, have no fields."""
+    subjects = spread(subjects)
     parts = [_avro_fields(subjects), _json_fields(subjects), _protobuf_fields(subjects)]
     return reduce(DataFrame.unionByName, [p.select(*FIELD_COLUMNS) for p in parts])
 

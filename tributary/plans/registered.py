@@ -202,7 +202,7 @@ def _(t: Landed) -> DataFrame:
 
 def _inventory(t: Landed) -> cycle_plan.Inventory:
     return cycle_plan.Inventory(
-        env_dim=t.env_dim(), connectors=t.connectors(), statements=t.flink_statements(),
+        env_dim=t.env_dim(), connectors=t.connectors(), statements=t.spread_statements(),
         metrics=t.metric_rows(), ksql_queries=t.ksql_queries(), ksql_sources=t.ksql_sources(),
         tableflow_topics=t.tableflow_topics(), topic_metadata=t.topic_metadata(),
     )

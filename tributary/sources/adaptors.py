@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tributary.session import spread
+
 # view -> (table, filter or None, {column: expression})
 VIEWS: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "env_dim": ("region", None, {
@@ -224,6 +226,10 @@ class Landed:
     def flink_statements(self) -> DataFrame:
         return self.view("flink_statements")
 
+    def spread_statements(self) -> DataFrame:
+        """Statements over all cores: the test table is one file."""
+        return spread(self.flink_statements())
+
     def ksql_sources(self) -> DataFrame:
         return self.view("ksql_descriptions").select(
             "ksql_cluster_id", F.upper("name").alias("name"), "topic",
