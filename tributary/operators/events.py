@@ -48,7 +48,10 @@ def job_topology(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
 
 
 def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
-    """One row per (job, side, dataset) with the dataset namespace and the job's topology."""
+    """One row per (job, side, dataset) with the dataset namespace and the job's topology.
+
+    Write the result before grouping it by job again: a join that already clusters rows the way
+    the next step wants them is not split when one job is very large."""
     # Topics never declare a namespace, so they need no order, only a hash-based distinct.
     columns = [*JOB_KEY, "side", "dataset_type", "dataset_name", "declared_namespace"]
     found = dataset_endpoints(edges, types=(TOPIC,)).select(*columns).distinct().unionByName(

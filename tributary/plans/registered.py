@@ -217,7 +217,7 @@ def _event_datasets(t: Landed) -> DataFrame:
 
 
 def _jobs(t: Landed) -> DataFrame:
-    return events.job_events(_event_datasets(t), CYCLE)
+    return events.job_events(write_and_reload(_event_datasets(t), "datasets"), CYCLE)
 
 
 def _topic_fields(t: Landed) -> DataFrame:

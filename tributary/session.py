@@ -51,11 +51,3 @@ def write_and_reload(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Hand the rows of fewer files than there are cores to all cores before costly per-row work.
-    Inputs of many files are left alone."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(slots) if 0 < len(files) < slots else df
