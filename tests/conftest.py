@@ -10,7 +10,9 @@ from tributary.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tributary-tests", cpus=os.environ.get("TEST_CPUS", "8"), memory="6g")
+    session = local_session("tributary-tests", cpus=os.environ.get("TEST_CPUS", "8"), memory="6g")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    return session
 
 
 @pytest.fixture
