@@ -43,6 +43,9 @@ JOB_TYPE_FACETS = {
 }
 DEFAULT_JOB_TYPE_FACET = ("STREAMING", "KAFKA")
 
+# Key of the topology facet in documents.
+TOPOLOGY_FACET = "confluent"
+
 # Endpoint types that become datasets.
 TOPIC = "kafka_topic"
 TABLE = "iceberg_table"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.fixed_values import DATASET_TYPES, TABLE, TOPIC
+from tributary.fixed_values import DATASET_TYPES, TABLE, TOPIC, TOPOLOGY_FACET
 from tributary.functions.identity import (
     abort_run_id, job_type_facet, stable_run_id, table_namespace, topic_namespace,
 )
@@ -127,16 +127,16 @@ def dataset_facets(datasets: DataFrame) -> Column:
         t["bytes_in"].alias("bytesIn"), t["bytes_out"].alias("bytesOut"),
         t["records_in"].alias("recordsIn"), t["records_out"].alias("recordsOut"),
         t["window_minutes"].alias("windowMinutes")))
-    facets = {"confluent": topology_facet(), "schema": schema, "kafkaTopic": meta, "kafkaThroughput": volume}
-    parts = [c.alias(n) for n, c in facets.items()
-             if n == "confluent" or _source_column(n) in datasets.columns]
-    any_facet = F.coalesce(*[F.when(c.isNotNull(), F.lit(True)) for n, c in facets.items()
-                             if n == "confluent" or _source_column(n) in datasets.columns])
-    return F.when((F.col("dataset_type") != TABLE) & any_facet, F.struct(*parts))
-
-
-def _source_column(facet: str) -> str:
-    return {"schema": "schema", "kafkaTopic": "kafka_topic", "kafkaThroughput": "kafka_throughput"}[facet]
+    facets = {
+        TOPOLOGY_FACET: topology_facet(), "schema": schema, "kafkaTopic": meta, "kafkaThroughput": volume,
+    }
+    # A facet whose map was not joined has no type and is left out.
+    columns = {"schema": "schema", "kafkaTopic": "kafka_topic", "kafkaThroughput": "kafka_throughput"}
+    present = {n: c for n, c in facets.items() if columns.get(n, "job_name") in datasets.columns}
+    any_facet = F.coalesce(*[F.when(c.isNotNull(), F.lit(True)) for c in present.values()])
+    return F.when(
+        (F.col("dataset_type") != TABLE) & any_facet, F.struct(*[c.alias(n) for n, c in present.items()]),
+    )
 
 
 def run_event_documents(
@@ -178,7 +178,7 @@ def run_event_documents(
         listed("input").alias("inputs"), listed("output").alias("outputs"),
     )
     job_facets = F.struct(
-        job_type_facet(F.col("job_type")).alias("jobType"), topology_facet().alias("confluent"),
+        job_type_facet(F.col("job_type")).alias("jobType"), topology_facet().alias(TOPOLOGY_FACET),
     )
     return grouped.select(
         F.lit("COMPLETE").alias("eventType"), F.lit(event_time).alias("eventTime"),

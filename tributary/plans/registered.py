@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.fixed_values import TOPOLOGY_FACET
 from tributary.functions import identity, sqlrefs, text
 from tributary.operators import (
     connect, diff, edges, events, graph, ksql, orders, registry, rollups, statements, tableflow,
@@ -557,7 +558,7 @@ def _(t: Landed) -> DataFrame:
 def _(t: Landed) -> DataFrame:
     rows = _event_datasets(t)
     rows = rows.withColumn("facets", events.dataset_facets(rows))
-    return rows.select(*JOB_KEY, "side", "dataset_namespace", "dataset_name", "facets.confluent.*")
+    return rows.select(*JOB_KEY, "side", "dataset_namespace", "dataset_name", f"facets.{TOPOLOGY_FACET}.*")
 
 
 # --- Aggregations -------------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from tributary.fixed_values import TOPOLOGY_FACET
+
 S = T.StringType()
 
 CONNECTOR = T.StructType([
@@ -54,7 +56,7 @@ TOPOLOGY = T.StructType([
 DATASET = T.StructType([
     T.StructField("namespace", S), T.StructField("name", S),
     T.StructField("facets", T.StructType([
-        T.StructField("confluent", TOPOLOGY),
+        T.StructField(TOPOLOGY_FACET, TOPOLOGY),
         T.StructField("schema", T.StructType([T.StructField("fields", T.VariantType())])),
         T.StructField("kafkaTopic", T.StructType([
             T.StructField("partitions", T.IntegerType()),
@@ -80,7 +82,7 @@ RUN_EVENT = T.StructType([
                 T.StructField("processingType", S), T.StructField("integration", S),
                 T.StructField("jobType", S),
             ])),
-            T.StructField("confluent", TOPOLOGY),
+            T.StructField(TOPOLOGY_FACET, TOPOLOGY),
         ])),
     ])),
     T.StructField("inputs", T.ArrayType(DATASET)),
