@@ -32,8 +32,11 @@ CACHED_PIECES = 300_000
 OUTPUT_BYTES = 8 << 20
 
 _NONE = 1 << 60
-# White space before a space: only there can a piece reach over the start of a space-led word.
-_SPACED = re.compile(r"\s ")
+# Where single spaces and line ends stand between other characters, every space leads a piece and every
+# line end is one; only neighbouring white space joins in other ways.
+_DOUBLE = re.compile(r"\s\s")
+# Marks that end a piece of letters before them (no apostrophe: it may begin a contraction).
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[str, int]:
@@ -79,6 +82,7 @@ class Vocabulary:
         self._pattern = regex.compile(PATTERN)
         self._pieces: dict[bytes, bytes] = {}
         self._led, self._bare = _Words(self, " "), _Words(self, "")
+        self._break = self.piece(b"\n")
 
     def _short(self, piece: bytes) -> list[bytes]:
         rank = self.ranks.get
@@ -121,15 +125,16 @@ class Vocabulary:
             i = end[i]
         return out
 
+    def merged(self, piece: bytes) -> list[int]:
+        """Ids of one piece after all merges."""
+        parts = self._short(piece) if len(piece) <= SHORT_PIECE else self._long(piece)
+        return [self.ids[p] for p in parts]
+
     def piece(self, piece: bytes) -> bytes:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
         packed = self._pieces.get(piece)
         if packed is None:
-            if piece in self.ids and len(piece) == 1:
-                parts = [piece]
-            else:
-                parts = self._short(piece) if len(piece) <= SHORT_PIECE else self._long(piece)
-            packed = np.array([self.ids[p] for p in parts], dtype="<u4").tobytes()
+            packed = np.array(self.merged(piece), dtype="<u4").tobytes()
             if len(self._pieces) < CACHED_PIECES and len(piece) <= SHORT_PIECE:
                 self._pieces[piece] = packed
         return packed
@@ -137,11 +142,22 @@ class Vocabulary:
     def pieces(self, text: str) -> bytes:
         return b"".join([self.piece(p.encode()) for p in self._pattern.findall(text)])
 
+    def word(self, lead: str, word: str) -> bytes:
+        """Ids of a word without white space. Letters, and the marks after them, are pieces of their own."""
+        stem = word.rstrip(_MARKS)
+        if not stem.isalpha():
+            return self.pieces(lead + word)
+        marks = word[len(stem) :]
+        return self.piece((lead + stem).encode()) + (self.piece(marks.encode()) if marks else b"")
+
     def _plain(self, text: str) -> bytes:
-        if _SPACED.search(text):
+        if _DOUBLE.search(text) or text[:1].isspace() or text[-1:].isspace():
             return self.pieces(text)
-        head, *rest = text.split(" ")
-        return self._bare[head] + b"".join(map(self._led.__getitem__, rest))
+        lines = []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            lines.append(self._bare[head] + b"".join(map(self._led.__getitem__, rest)))
+        return self._break.join(lines)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -166,7 +182,7 @@ class _Words(dict):
         self._vocabulary, self._lead = vocabulary, lead
 
     def __missing__(self, word: str) -> bytes:
-        packed = self._vocabulary.pieces(self._lead + word)
+        packed = self._vocabulary.word(self._lead, word)
         if len(self) < CACHED_WORDS and len(word) <= SHORT_PIECE:
             self[word] = packed
         return packed

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe
+from tributary.llm import bpe, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -14,11 +14,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 QUERIES = {
+    "op1_warc_round_trip": op1_warc_round_trip,
+    "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,
 }
 ORACLES: dict[str, str] = {}
