@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, token_files, warc
+from tributary.llm import bpe, quality, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -26,9 +26,14 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
