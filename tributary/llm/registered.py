@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, quality, token_files, warc
+from tributary.llm import bpe, quality, substring, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -18,6 +18,10 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_digests(table(spark, sf_dir, "documents"), length=13)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
 
@@ -32,6 +36,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op10_quality_rules": op10_quality_rules,
