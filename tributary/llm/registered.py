@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, quality, substring, token_files, warc
+from tributary.llm import bpe, ngram_join, quality, substring, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -18,6 +18,10 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.component_table(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), length=13)
 
@@ -36,6 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,

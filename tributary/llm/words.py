@@ -25,15 +25,18 @@ _LOWER = bytes(min(b + 1 + 0x20 * (0x41 <= b <= 0x5A), 255) for b in range(256))
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_NOTHING = np.empty(0, dtype=np.int64), np.empty(0, dtype=_U), np.empty(0, dtype=np.uint16)
 _powers: dict[int, np.ndarray] = {}
 
 
 class Chunk(NamedTuple):
-    """Words of the rows first..first+len(offsets)-2 of a batch; offsets bounds each row's words."""
+    """Words of the rows first..first+len(offsets)-2 of a batch; offsets bounds each row's words.
+    endings holds the last two bytes of each word, the last one in the low bits."""
 
     first: int
     words: np.ndarray
     offsets: np.ndarray
+    endings: np.ndarray
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -55,8 +58,8 @@ def _table(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions and hashes of the words of one slice; breaks holds positions where a text starts."""
+def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start positions, hashes and endings of the words of one slice; breaks holds positions where a text starts."""
     n = len(data)
     raw = data.tobytes()
     inside = np.frombuffer(raw.translate(_INSIDE), dtype=bool)
@@ -72,7 +75,10 @@ def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.n
     values = np.frombuffer(raw.translate(_LOWER if lower else _SAME), dtype=np.uint8)
     np.cumsum(values * _table(_BASE, n), out=sums[1:])
     h = (sums[ends] - sums[starts]) * _table(_INVERSE, n)[starts]
-    return starts, mix(h + (ends - starts).astype(_U))
+    endings = data[ends - 1].astype(np.uint16)
+    long = ends - starts > 1
+    endings[long] |= data[ends[long] - 2].astype(np.uint16) << np.uint16(8)
+    return starts, mix(h + (ends - starts).astype(_U)), endings
 
 
 def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +89,8 @@ def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", dtype=np.uint8), bounds
 
 
-def _long(data: np.ndarray, lower: bool) -> np.ndarray:
-    """Word hashes of one text beyond a slice, cut at white space."""
+def _long(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and endings of one text beyond a slice, cut at white space."""
     parts, at = [], 0
     while at < len(data):
         end = min(len(data), at + SLICE_BYTES)
@@ -92,9 +98,9 @@ def _long(data: np.ndarray, lower: bool) -> np.ndarray:
             inside = np.frombuffer(data[end : end + SLICE_BYTES].tobytes().translate(_INSIDE), dtype=bool)
             more = np.flatnonzero(~inside)
             end = end + int(more[0]) if len(more) else min(len(data), end + SLICE_BYTES)
-        parts.append(_hash_slice(data[at:end], np.empty(0, dtype=np.int64), lower)[1])
+        parts.append(_hash_slice(data[at:end], np.empty(0, dtype=np.int64), lower)[1:])
         at = end
-    return np.concatenate(parts)
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
 def chunks(column: pa.Array, lower: bool) -> Iterator[Chunk]:
@@ -104,14 +110,14 @@ def chunks(column: pa.Array, lower: bool) -> Iterator[Chunk]:
     while row < rows:
         end = int(np.searchsorted(bounds, bounds[row] + SLICE_BYTES, side="right")) - 1
         if end <= row:
-            words = _long(data[bounds[row] : bounds[row + 1]], lower)
-            yield Chunk(row, words, np.array([0, len(words)]))
+            words, endings = _long(data[bounds[row] : bounds[row + 1]], lower)
+            yield Chunk(row, words, np.array([0, len(words)]), endings)
             row += 1
             continue
         own = bounds[row : end + 1] - bounds[row]
         part = data[bounds[row] : bounds[end]]
-        starts, words = _hash_slice(part, own, lower) if len(part) else (np.empty(0, np.int64), np.empty(0, _U))
-        yield Chunk(row, words, np.searchsorted(starts, own))
+        starts, words, endings = _hash_slice(part, own, lower) if len(part) else _NOTHING
+        yield Chunk(row, words, np.searchsorted(starts, own), endings)
         row = end
 
 
