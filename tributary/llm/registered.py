@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, ngram_join, quality, substring, token_files, warc
+from tributary.llm import bpe, lm_score, ngram_join, quality, substring, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -22,6 +22,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.component_table(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), length=13)
 
@@ -41,6 +45,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,
