@@ -18,6 +18,8 @@ SLICE_BYTES = 1 << 18
 
 _SPACES = (0x20, *range(0x09, 0x0E))
 _INSIDE = bytes(b not in _SPACES for b in range(256))
+# For `plain`: ASCII letters, digits and all other bytes of UTF-8 letters; marks part words as well.
+_PLAIN = bytes(chr(b).isalnum() if b < 0x80 else 1 for b in range(256))
 # One more than the byte, so that no byte counts as zero (0xFF does not occur in UTF-8).
 _SAME = bytes(min(b + 1, 255) for b in range(256))
 _LOWER = bytes(min(b + 1 + 0x20 * (0x41 <= b <= 0x5A), 255) for b in range(256))
@@ -58,11 +60,11 @@ def _table(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start positions, hashes and endings of the words of one slice; breaks holds positions where a text starts."""
     n = len(data)
     raw = data.tobytes()
-    inside = np.frombuffer(raw.translate(_INSIDE), dtype=bool)
+    inside = np.frombuffer(raw.translate(_PLAIN if plain else _INSIDE), dtype=bool)
     edge = np.empty(n + 1, dtype=bool)
     edge[0] = edge[n] = True
     edge[1:n] = inside[1:] != inside[:-1]
@@ -89,7 +91,7 @@ def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", dtype=np.uint8), bounds
 
 
-def _long(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _long(data: np.ndarray, lower: bool, plain: bool) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and endings of one text beyond a slice, cut at white space."""
     parts, at = [], 0
     while at < len(data):
@@ -98,25 +100,26 @@ def _long(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
             inside = np.frombuffer(data[end : end + SLICE_BYTES].tobytes().translate(_INSIDE), dtype=bool)
             more = np.flatnonzero(~inside)
             end = end + int(more[0]) if len(more) else min(len(data), end + SLICE_BYTES)
-        parts.append(_hash_slice(data[at:end], np.empty(0, dtype=np.int64), lower)[1:])
+        parts.append(_hash_slice(data[at:end], np.empty(0, dtype=np.int64), lower, plain)[1:])
         at = end
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def chunks(column: pa.Array, lower: bool) -> Iterator[Chunk]:
-    """Word hashes of a text column, some rows at a time; lower maps A-Z to a-z first."""
+def chunks(column: pa.Array, lower: bool, plain: bool = False) -> Iterator[Chunk]:
+    """Word hashes of a text column, some rows at a time; lower maps A-Z to a-z first, plain takes
+    ASCII marks for white space."""
     data, bounds = _plain(column)
     row, rows = 0, len(column)
     while row < rows:
         end = int(np.searchsorted(bounds, bounds[row] + SLICE_BYTES, side="right")) - 1
         if end <= row:
-            words, endings = _long(data[bounds[row] : bounds[row + 1]], lower)
+            words, endings = _long(data[bounds[row] : bounds[row + 1]], lower, plain)
             yield Chunk(row, words, np.array([0, len(words)]), endings)
             row += 1
             continue
         own = bounds[row : end + 1] - bounds[row]
         part = data[bounds[row] : bounds[end]]
-        starts, words, endings = _hash_slice(part, own, lower) if len(part) else _NOTHING
+        starts, words, endings = _hash_slice(part, own, lower, plain) if len(part) else _NOTHING
         yield Chunk(row, words, np.searchsorted(starts, own), endings)
         row = end
 
