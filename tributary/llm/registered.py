@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, decontam, lm_score, ngram_join, quality, substring, token_files, warc
+from tributary.llm import bpe, decontam, html_crf, lm_score, ngram_join, quality, substring, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -38,6 +38,10 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_html_main_text": op8_html_main_text,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
