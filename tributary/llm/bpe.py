@@ -239,7 +239,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
     return chosen.mapInArrow(decode, "key long, ids binary, text string").withColumnsRenamed({"key": key, "ids": ids})
 
 
-def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
+def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded, then decoded from its ids."""
     back = decode_documents(encode_documents(docs, path), path)
     return back.select(
@@ -247,4 +247,5 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+        *(["ids"] if with_ids else []),
     )

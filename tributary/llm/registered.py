@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, decontam, html_crf, lm_score, ngram_join, quality, substring, token_files, warc
+from tributary.llm import bpe, decontam, html_crf, lm_score, ngram_join, preference, quality, substring, token_files, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -22,6 +22,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.component_table(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op3_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_pairs(table(spark, sf_dir, "conversations"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_preference_pairs": op3_preference_pairs,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
@@ -61,4 +66,4 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_preference_pairs": preference.ORACLE}
