@@ -203,7 +203,7 @@ def _(t: Landed) -> DataFrame:
 
 def _inventory(t: Landed) -> cycle_plan.Inventory:
     return cycle_plan.Inventory(
-        env_dim=t.env_dim(), connectors=t.connectors(), statements=t.spread_statements(),
+        env_dim=t.env_dim(), connectors=t.connectors(), statements=t.flink_statements(),
         metrics=t.metric_rows(), ksql_queries=t.ksql_queries(), ksql_sources=t.ksql_sources(),
         tableflow_topics=t.tableflow_topics(), topic_metadata=t.topic_metadata(),
     )
@@ -980,8 +980,8 @@ def _(t: Landed) -> DataFrame:
 
 @query("T5_inactive_groups")
 def _(t: Landed) -> DataFrame:
-    stream_usage.merge_sessions_early(t.spark)
-    rows = _run_to_files(stream_usage.group_sessions(_stream_metrics(t)), "sessions")
+    with stream_usage.merged_sessions_early(t.spark):
+        rows = _run_to_files(stream_usage.group_sessions(_stream_metrics(t)), "sessions")
     return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("active_from", "removed_at")})
 
 

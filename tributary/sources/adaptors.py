@@ -6,7 +6,6 @@ in DuckDB, so the oracle queries start from exactly the rows the Spark queries s
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,16 +225,6 @@ class Landed:
     def flink_statements(self) -> DataFrame:
         return self.view("flink_statements")
 
-    def spread_statements(self) -> DataFrame:
-        """Statements over all cores, when the table is a single file."""
-        return self._over_all_cores(self.flink_statements(), "orders")
-
-    def _over_all_cores(self, df: DataFrame, table: str) -> DataFrame:
-        """A table that is one file is read by one task; costly per-row work wants more. A folder
-        of files is left alone."""
-        single = os.path.isfile(f"{self.sf_dir}/{table}.parquet")
-        return df.repartition(self.spark.sparkContext.defaultParallelism) if single else df
-
     def ksql_sources(self) -> DataFrame:
         return self.view("ksql_descriptions").select(
             "ksql_cluster_id", F.upper("name").alias("name"), "topic",
@@ -254,7 +243,7 @@ class Landed:
         return self.view("topic_metadata")
 
     def schema_subjects(self) -> DataFrame:
-        raw = self._over_all_cores(self.view("schema_subjects_raw"), "part")
+        raw = self.view("schema_subjects_raw")
         return raw.select(
             "env_id", "subject", "version",
             F.upper(F.coalesce("raw_type", F.lit("AVRO"))).alias("schema_type"), "schema_text",
