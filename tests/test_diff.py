@@ -63,11 +63,11 @@ def test_quarantine_then_recovery(spark):
 
 
 def model(history, health):
-    """Cycle by cycle, with carried state."""
+    """Cycle by cycle, with carried state. Jobs without a health row: their source counts as failed."""
     state, out = {}, []
-    for cycle in sorted({c for c, _, _ in health}):
-        ok = {ns: o for c, ns, o in health if c == cycle}
-        present = {(ns, n): fp for c, ns, n, fp in history if c == cycle and ns in ok}
+    for cycle in sorted({c for c, *_ in health} | {c for c, *_ in history}):
+        present = {(ns, n): fp for c, ns, n, fp in history if c == cycle}
+        ok = {ns: False for ns, _ in present} | {ns: o for c, ns, o in health if c == cycle}
         for key, fp in present.items():
             out.append((cycle, *key, "SKIP" if state.get(key) == fp else "EMIT"))
         for key in [k for k in state if k not in present and k[0] in ok]:
@@ -84,7 +84,7 @@ def model(history, health):
 def test_history_equals_the_sequential_model(spark, seed, block):
     rnd = random.Random(seed)
     cycles = range(1, 31)
-    health = [(c, ns, rnd.random() < 0.6) for c in cycles for ns in ("n1", "n2")]
+    health = [(c, ns, rnd.random() < 0.6) for c in cycles for ns in ("n1", "n2") if rnd.random() < 0.8]
     history = [(c, ns, f"j{j}", str(rnd.randint(1, 2))) for ns in ("n1", "n2") for j in range(6) for c in cycles if rnd.random() < 0.5]
     # A job that owns a third of all rows: present in every cycle.
     history += [(c, "n1", "hot", str(c // 4)) for c in cycles for _ in (0,)]
@@ -94,6 +94,16 @@ def test_history_equals_the_sequential_model(spark, seed, block):
     assert rows(got, "cycle", "namespace", "name", "action") == model(history, health)
 
 
+def test_a_job_that_changes_type_is_not_removed(spark):
+    columns = "job_namespace string, job_name string, job_type string, fingerprint string"
+    now = spark.createDataFrame([("n", "j", "sink", "2"), ("n", "k", "sink", "1")], columns)
+    before = spark.createDataFrame([("n", "j", "source", "1", "t"), ("n", "gone", "source", "1", "t")], columns + ", last_seen_at string")
+    got = diff.diff_cycle(now, before, spark.createDataFrame([], "namespace string"))
+    assert rows(got, "job_name", "job_type", "action") == [("gone", "source", "ABORT"), ("j", "sink", "EMIT"), ("k", "sink", "EMIT")]
+    state = diff.next_state(got, F.lit("t2"))
+    assert rows(state, "job_name", "job_type") == [("j", "sink"), ("k", "sink")]
+
+
 def test_split_windows_equal_plain_ones(spark):
     rnd = random.Random(5)
     data = [(k, o, rnd.random() < 0.2) for k in "ab" for o in rnd.sample(range(500), 90 if k == "a" else 5)]

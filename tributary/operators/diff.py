@@ -46,13 +46,17 @@ def diff_cycle(jobs: DataFrame, state: DataFrame, failed: DataFrame, force: bool
     """One row per job that is present or known, with its action.
 
     Present: EMIT when new, changed or forced, else SKIP. Absent: QUARANTINED when its source
-    failed, else ABORT. Job keys are unique on both sides, so the full outer join has no hot key.
+    failed, else ABORT. A job whose type has changed is present under another key: its old key
+    is left out, as the job lives on. Job keys are unique on both sides, so no join has a hot key.
     """
     now = jobs.select(*JOB_KEY, F.col("fingerprint").alias("now_fp"), F.lit(True).alias("_present"))
     known = state.select(
         *JOB_KEY, F.col("fingerprint").alias("known_fp"), "last_seen_at", F.lit(True).alias("_known"),
     )
     both = now.join(known, list(JOB_KEY), "full_outer")
+    name = ["job_namespace", "job_name"]
+    both = both.join(jobs.select(*name, F.lit(True).alias("_alive")).distinct(), name, "left")
+    both = both.where("_present IS NOT NULL OR _alive IS NULL")
     names = failed.select(
         F.col("namespace").alias("job_namespace"), F.lit(True).alias("_failed"),
     ).distinct()
@@ -118,9 +122,15 @@ def diff_history(job_cycles: DataFrame, health: DataFrame, block: int = BLOCK) -
     `job_cycles` has one row per job and cycle it was present in (cycle, namespace, name, fp);
     `health` one row per namespace and cycle (namespace, cycle, ok). Only the gaps in a job's
     history are expanded: a job is aborted in the first healthy cycle of a gap, and quarantined
-    in the failed cycles before it. No job x cycle grid is built.
+    in the failed cycles before it. No job x cycle grid is built. Where a namespace has jobs in a cycle but
+    no health row, it counts as failed in it: its jobs are compared, the absent ones held.
     """
     keys = ["namespace", "name"]
+    own = health.select("namespace", "cycle", "ok")
+    unseen = job_cycles.select("namespace", "cycle").distinct().join(
+        own.select("namespace", "cycle").distinct(), ["namespace", "cycle"], "left_anti",
+    )
+    health = own.unionByName(unseen.withColumn("ok", F.lit(False)))
     outlook = health_outlook(health, block)
     seen = job_cycles.select("cycle", *keys, "fp").join(
         outlook.drop("ok"), ["namespace", "cycle"],
