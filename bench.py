@@ -15,11 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tributary.operators import events, statements  # noqa: E402
-from tributary.plans import registered  # noqa: E402
 from tributary.plans.registered import QUERIES  # noqa: E402
-from tributary.session import local_session, write_and_reload  # noqa: E402
-from tributary.sources.adaptors import Landed  # noqa: E402
+from tributary.session import local_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -30,23 +27,12 @@ def by_name(name):
     return lambda spark: QUERIES[name](spark, SF_DIR)
 
 
-def statement_edges(spark):
-    return statements.flink_edges(Landed(spark, SF_DIR).spread_statements())
-
-
-def job_events(spark):
-    t = Landed(spark, SF_DIR)
-    edges = write_and_reload(registered._edges(t), "edges")
-    datasets = write_and_reload(events.event_datasets(edges, registered.FALLBACK_BOOTSTRAP), "datasets")
-    return events.job_events(datasets)
-
-
 BENCH = {
-    "statement_edges": statement_edges,
+    "statement_edges": by_name("P4_flink_edges"),
     "topic_throughput": by_name("A3_topic_throughput"),
     "consumer_groups": by_name("A1_consumer_groups"),
     "lineage_edges": by_name("U1_lineage_edges"),
-    "job_events": job_events,
+    "job_events": by_name("A4_job_events"),
     "diff_history": by_name("W3_diff_history"),
     "diff_cycle": by_name("J7_diff_cycle"),
     "minute_rollup": by_name("A12_metric_minute_rollup"),
