@@ -181,8 +181,8 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, steps: int =
 class Searched(NamedTuple):
     """A block of passages with their items, and the space; bounded by BLOCK, BUCKETS and RANK."""
 
-    fold: np.ndarray  # basis rows times word weight
-    squares: np.ndarray  # squared word weights
+    fold: np.ndarray  # basis rows times word weight, and a row of zeros for the empty bucket
+    squares: np.ndarray  # squared word weights, likewise
     latent: np.ndarray  # unit vectors of the passages
     first: np.ndarray
     item_of: np.ndarray  # index into items
@@ -201,7 +201,8 @@ def searched(rows: list, basis: np.ndarray, idf: np.ndarray) -> Searched:
     answers = {(r.item_id, tuple(r.item)): r.answer_at for r in rows}
     items = [np.array(i, dtype=np.int64).view(np.uint64) for _, i in numbers]
     first = np.array([r.first for r in rows])
-    return Searched(basis * idf[:, None], idf.astype(np.float64) ** 2, latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers])
+    fold = np.vstack([basis * idf[:, None], np.zeros((1, basis.shape[1]), dtype=np.float32)])
+    return Searched(fold, np.append(idf.astype(np.float64) ** 2, 0.0), latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers])
 
 
 def common_subsequence(item: list, text: list) -> int:
@@ -225,6 +226,10 @@ def _contains(item: list, text: list) -> bool:
 def judged(item: np.ndarray, answer_at: int, region: np.ndarray) -> tuple[float, float] | None:
     """Shares of the item and of its answer found in a region, if they make it a match."""
     own, text = item.tolist(), region.tolist()
+    there = set(text)
+    # No common subsequence holds more than the item's words that the region has at all.
+    if sum([w in there for w in own]) < PART_OF_ITEM * len(own):
+        return None
     if len(own) < FEW_WORDS:
         return (1.0, 1.0) if _contains(own, text) else None
     share = common_subsequence(own, text) / len(own)
@@ -247,9 +252,12 @@ def matches(column: pa.Array, s: Searched):
         row = np.repeat(np.arange(len(sizes)), per_row)
         begin = np.cumsum(per_row) - per_row
         start = c.offsets[:-1][row] + (np.arange(len(row)) - begin[row]) * STRIDE
-        bucket = (c.words % np.uint64(BUCKETS)).astype(np.int64)
-        blocks = np.add.reduceat(s.fold[bucket], start, axis=0)
-        lengths = np.add.reduceat(s.squares[bucket], start)
+        bucket = np.append((c.words % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)
+        place = start[:, None] + np.arange(STRIDE)
+        place[place >= c.offsets[1:][row][:, None]] = n  # beyond the text: the empty bucket
+        held = bucket[place]
+        blocks = s.fold[held].sum(axis=1)
+        lengths = s.squares[held].sum(axis=1)
         window, whole = blocks.copy(), lengths.copy()
         for k in range(1, PASSAGE // STRIDE):
             same = row[k:] == row[:-k]

@@ -37,7 +37,7 @@ NOISE = 128
 BATCH = 8192
 RATE = 0.1
 SEED = 7
-COUNT_TOKENS = 1 << 22
+COUNT_TOKENS = 1 << 21
 
 _U = np.uint64
 END = 0x454E444F46544558
