@@ -110,6 +110,15 @@ def test_lookback_is_half_open_and_minute_aligned(spark):
     assert rows(usage.lookback(df, as_of, 10), "t") == [("11:50:00",), ("11:59:59",)]
 
 
+def test_a_cycle_counts_its_window_only(spark, env_dim):
+    rows_ = [("lkc-a", "received_bytes", "t", "", f"p{i}", 5.0, at) for i, at in enumerate(("2023-11-01 00:00:00", "2024-01-01 11:55:00", "2024-01-01 12:00:10"))]
+    df = spark.createDataFrame(rows_, "cluster_id string, metric string, topic string, consumer_group_id string, client_id string, value double, at string")
+    inv = plan.Inventory(env_dim=env_dim, metrics=df.withColumn("ts", F.col("at").cast("timestamp")).drop("at"))
+    graph = plan.build_graph(inv, plan.Options(as_of="2024-01-01 12:00:30"))
+    assert rows(graph.topic_throughput, "topic", "bytes_in") == [("t", 5)] and rows(graph.producers, "client_id") == [("p1",)]
+    assert rows(plan.build_graph(inv).topic_throughput, "bytes_in") == [(15,)]
+
+
 def test_prefix_anti_join_equals_startswith(spark):
     ids = ["", "a", "ab", "abc", "b", "bcd", None] + [f"id{i}" for i in range(60)]
     prefixes = ["ab", "bcde", "id1", "id22"]

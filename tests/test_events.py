@@ -107,8 +107,9 @@ def test_large_documents_are_split_without_loss(spark):
     names = [d.name for r in hot for d in (r.inputs or [])]
     assert sorted(names) == [f"t{i:05d}" for i in range(300)]
     assert sum(len(r.outputs or []) for r in hot) == 1
+    assert {r.run.parts for r in hot} == {len(hot)} == {len({r.run.part for r in hot})}
     cold = [r for r in docs.collect() if r.job.name == "j7"]
-    assert len(cold) == 1
+    assert len(cold) == 1 and cold[0].run.parts == 1
 
 
 def test_documents_round_trip_with_facets(spark, env_dim, tmp_path):

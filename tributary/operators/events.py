@@ -143,11 +143,12 @@ def run_event_documents(
     jobs: DataFrame, datasets: DataFrame, *, cycle: str, event_time: str, producer: str,
     datasets_per_document: int = 10_000, bytes_per_document: int = 16 << 20,
 ) -> DataFrame:
-    """Nested documents, one per job. A job whose document would hold more than
-    `datasets_per_document` datasets or `bytes_per_document` of schema text is written as several
-    documents of about that size with the same run id: each dataset appears in exactly one, so
-    the run's inputs and outputs are their union. Lists are sorted by namespace and name; an empty
-    list becomes NULL. `datasets` is read twice, so hand in a written table."""
+    """Nested documents. A job's datasets are dealt out by hash to documents of about
+    `datasets_per_document` datasets or `bytes_per_document` of schema text; they share one run id, and each
+    dataset appears in exactly one. Every document, also a single one, says which it is: `run.part` names
+    its share and `run.parts` the number of documents of the run, so a reader knows when a run is whole.
+    Lists are sorted by namespace and name; an empty list becomes NULL. `datasets` is read more than
+    once, so hand in a written table."""
     text = F.length("schema.fields_json") if "schema" in datasets.columns else F.lit(None)
     size = datasets.groupBy(*JOB_KEY).agg(
         F.count("*").alias("_n"), F.sum(F.coalesce(text, F.lit(0)).cast("bigint")).alias("_bytes"),
@@ -159,7 +160,10 @@ def run_event_documents(
         F.ceil(F.col("_n") / F.lit(datasets_per_document)),
         F.ceil(F.col("_bytes") / F.lit(bytes_per_document)),
     )
-    part = F.pmod(F.xxhash64("side", "dataset_namespace", "dataset_name"), parts)
+    part = F.pmod(F.xxhash64("side", "dataset_namespace", "dataset_name"), parts).cast("int")
+    sized = sized.withColumn("part", part)
+    dealt = sized.select(*JOB_KEY, "part").distinct().groupBy(*JOB_KEY).agg(F.count("*").cast("int").alias("parts"))
+    sized = sized.join(dealt, list(JOB_KEY))
     entry = F.struct(
         F.col("dataset_namespace").alias("namespace"), F.col("dataset_name").alias("name"),
         dataset_facets(datasets).alias("facets"),
@@ -174,7 +178,7 @@ def run_event_documents(
         ))
         return F.when(F.size(ordered) > 0, ordered)
 
-    grouped = sized.groupBy(*JOB_KEY, "run_id", *TOPOLOGY_COLUMNS, part.alias("part")).agg(
+    grouped = sized.groupBy(*JOB_KEY, "run_id", *TOPOLOGY_COLUMNS, "part", "parts").agg(
         listed("input").alias("inputs"), listed("output").alias("outputs"),
     )
     job_facets = F.struct(
@@ -182,7 +186,7 @@ def run_event_documents(
     )
     return grouped.select(
         F.lit("COMPLETE").alias("eventType"), F.lit(event_time).alias("eventTime"),
-        F.struct(F.col("run_id").alias("runId")).alias("run"),
+        F.struct(F.col("run_id").alias("runId"), "part", "parts").alias("run"),
         F.struct(
             F.col("job_namespace").alias("namespace"), F.col("job_name").alias("name"),
             job_facets.alias("facets"),
@@ -196,7 +200,7 @@ def abort_documents(removed: DataFrame, *, cycle: str, event_time: str, producer
     run_id = abort_run_id(F.col("job_namespace"), F.col("job_name"), F.lit(cycle))
     return removed.select(
         F.lit("ABORT").alias("eventType"), F.lit(event_time).alias("eventTime"),
-        F.struct(run_id.alias("runId")).alias("run"),
+        F.struct(run_id.alias("runId"), F.lit(0).alias("part"), F.lit(1).alias("parts")).alias("run"),
         F.struct(
             F.col("job_namespace").alias("namespace"), F.col("job_name").alias("name"),
         ).alias("job"),

@@ -40,6 +40,8 @@ class Options:
     table_region: str | None = None
     table_database: str | None = None
     lookback_minutes: int = DEFAULT_LOOKBACK_MINUTES
+    # End of the metric window (a time as text); None takes every landed metric row.
+    as_of: str | None = None
     group_exclude_prefixes: tuple[str, ...] = ()
     producer_exclude_prefixes: tuple[str, ...] = ()
     topic_merge: str = "by_cluster"
@@ -69,9 +71,12 @@ def build_graph(inv: Inventory, opt: Options | None = None) -> LineageGraph:
     if inv.statements is not None:
         drafts.append(statements.flink_edges(inv.statements))
     if inv.metrics is not None:
-        bound_producers = usage.producers(inv.metrics, opt.producer_exclude_prefixes)
-        bound_groups = usage.consumer_groups(inv.metrics, opt.group_exclude_prefixes)
-        throughput = usage.topic_throughput(inv.metrics, opt.lookback_minutes)
+        metrics = inv.metrics
+        if opt.as_of is not None:
+            metrics = usage.lookback(metrics, F.lit(opt.as_of).cast("timestamp"), opt.lookback_minutes)
+        bound_producers = usage.producers(metrics, opt.producer_exclude_prefixes)
+        bound_groups = usage.consumer_groups(metrics, opt.group_exclude_prefixes)
+        throughput = usage.topic_throughput(metrics, opt.lookback_minutes)
         drafts += [usage.producer_edges(bound_producers), usage.group_edges(bound_groups)]
     if inv.tableflow_topics is not None:
         drafts.append(tableflow.tableflow_edges(

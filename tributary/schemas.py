@@ -74,7 +74,9 @@ DATASET = T.StructType([
 RUN_EVENT = T.StructType([
     T.StructField("eventType", S), T.StructField("eventTime", S),
     T.StructField("producer", S),
-    T.StructField("run", T.StructType([T.StructField("runId", S)])),
+    T.StructField("run", T.StructType([
+        T.StructField("runId", S), T.StructField("part", T.IntegerType()), T.StructField("parts", T.IntegerType()),
+    ])),
     T.StructField("job", T.StructType([
         T.StructField("namespace", S), T.StructField("name", S),
         T.StructField("facets", T.StructType([
