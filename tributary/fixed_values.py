@@ -57,7 +57,6 @@ DEFAULT_TABLE_NAMESPACE = "iceberg://tableflow"
 MANAGED_HOST_SUFFIX = ("confluent", "cloud")
 DEFAULT_SCHEMA_TYPE = "AVRO"
 PROTOBUF_DESCRIPTION_CHARS = 500
-SWEEP_PREFIX = "ol-"
 
 # Kinds of provisioned resources that can be reconciled.
 RESOURCE_KINDS = ("topic", "connector", "statement")

@@ -228,9 +228,9 @@ BLOCKS |= {
         SELECT cycle, namespace, name, CASE WHEN fp IS NOT NULL THEN CASE WHEN fp = prev THEN 'SKIP' ELSE 'EMIT' END
           WHEN ok THEN 'ABORT' ELSE 'QUARANTINED' END AS action
         FROM carried WHERE fp IS NOT NULL OR (prev IS NOT NULL AND prev <> '')""",
-    "now_jobs": "SELECT namespace, name, fp FROM history WHERE cycle = 1998",
-    "known_jobs": "SELECT namespace, name, arg_max(fp, cycle) AS fp FROM history WHERE cycle < 1998 GROUP BY namespace, name",
-    "failed_now": "SELECT namespace FROM source_health WHERE cycle = 1998 AND NOT ok",
+    "now_jobs": "SELECT namespace, name, fp FROM history WHERE cycle = (SELECT max(cycle) FROM history)",
+    "known_jobs": "SELECT namespace, name, arg_max(fp, cycle) AS fp FROM history WHERE cycle < (SELECT max(cycle) FROM history) GROUP BY namespace, name",
+    "failed_now": "SELECT namespace FROM source_health WHERE cycle = (SELECT max(cycle) FROM history) AND NOT ok",
     "gone_jobs": "SELECT namespace, name FROM known_jobs WHERE (namespace, name) NOT IN (SELECT namespace, name FROM now_jobs)",
     "new_deployments": """
         SELECT CASE WHEN env_ord % 5 = 0 THEN env_id || '-b' ELSE env_id END AS env_id, env_name, cluster_id, cluster_name,
@@ -511,7 +511,7 @@ FINAL: dict[str, str] = {
     "U2_removed_keys": "SELECT namespace AS job_namespace, name AS job_name FROM gone_jobs",
     "U3_failed_namespaces": """
         SELECT DISTINCT namespace FROM source_health WHERE namespace NOT IN (
-          SELECT namespace FROM source_health WHERE cycle = 1998 AND ok AND namespace <> 'ns-5')""",
+          SELECT namespace FROM source_health WHERE cycle = (SELECT max(cycle) FROM history) AND ok AND namespace <> 'ns-5')""",
     "U4_graph_topics": "SELECT * FROM graph_topics",
     "U5_environment_sets": """
         SELECT env_id, 'added' AS side FROM new_deployments WHERE env_id NOT IN (SELECT env_id FROM deployments)

@@ -481,30 +481,32 @@ def _(t: Landed) -> DataFrame:
     return _edges(t).select("job_namespace", "job_name", "source_name", "target_name", "kafka_bootstrap", *TOPOLOGY_COLUMNS)
 
 
-def _cycle_inputs(t: Landed, cycle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(jobs now, known state, failed namespaces) of one cycle; known is every job seen before."""
-    history = t.job_history()
+def _latest_cycle(t: Landed) -> int:
+    return t.job_history().agg(F.max("cycle")).first()[0]
+
+
+def _cycle_inputs(t: Landed) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(jobs now, known state, failed namespaces) of the latest cycle; known is every job seen before."""
+    history, cycle = t.job_history(), _latest_cycle(t)
     now = _as_jobs(history.where(F.col("cycle") == cycle))
     before = history.where(F.col("cycle") < cycle).groupBy("namespace", "name").agg(
         F.max_by("fp", "cycle").alias("fp"), F.max("cycle").cast("string").alias("last_seen_at"))
     known = before.select(
         F.col("namespace").alias("job_namespace"), F.col("name").alias("job_name"), F.lit("job").alias("job_type"),
         F.sha2("fp", 256).alias("fingerprint"), "last_seen_at")
-    failed = diff.failed_namespaces(t.source_health().where(F.col("cycle") == cycle))
+    health = t.source_health().where(F.col("cycle") == cycle)
+    failed = diff.failed_namespaces(diff.expected_health(health, known.select(F.col("job_namespace").alias("namespace"))))
     return now, known, failed
 
 
-DIFF_YEAR = 1998
-
-
 @query("J7_diff_cycle")
 def _(t: Landed) -> DataFrame:
-    return diff.diff_cycle(*_cycle_inputs(t, DIFF_YEAR)).select("job_namespace", "job_name", "action")
+    return diff.diff_cycle(*_cycle_inputs(t)).select("job_namespace", "job_name", "action")
 
 
 @query("J8_quarantine_filter")
 def _(t: Landed) -> DataFrame:
-    now, known, failed = _cycle_inputs(t, DIFF_YEAR)
+    now, known, failed = _cycle_inputs(t)
     gone = diff.removed_keys(known, now)
     held = diff.quarantine_filter(gone, failed, keep=True).select("job_namespace", "job_name", F.lit("held").alias("fate"))
     return held.union(diff.quarantine_filter(gone, failed, keep=False).select("job_namespace", "job_name", F.lit("removed")))
@@ -714,7 +716,7 @@ def _(t: Landed) -> DataFrame:
 
 @query("U2_removed_keys")
 def _(t: Landed) -> DataFrame:
-    now, known, _failed = _cycle_inputs(t, DIFF_YEAR)
+    now, known, _failed = _cycle_inputs(t)
     return diff.removed_keys(known, now).select("job_namespace", "job_name")
 
 
@@ -722,7 +724,7 @@ def _(t: Landed) -> DataFrame:
 def _(t: Landed) -> DataFrame:
     """Namespaces seen in orders of any year, with the health of one year; no row means failed."""
     history = t.source_health()
-    year = history.where(F.col("cycle") == DIFF_YEAR).where("namespace <> 'ns-5'")
+    year = history.where(F.col("cycle") == _latest_cycle(t)).where("namespace <> 'ns-5'")
     return diff.failed_namespaces(diff.expected_health(year, history))
 
 
