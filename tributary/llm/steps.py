@@ -6,7 +6,6 @@ import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm.shared_files import opened
 from tributary.session import scratch_path
 
 
@@ -27,8 +26,9 @@ class Steps:
     def drop(self, *names: str) -> None:
         """Delete steps that nothing reads any more, and let Spark free the shuffle files of jobs that are
         over: it does so when the driver collects its garbage, which first has to let go of them here."""
+        context = self._spark.sparkContext
         for name in names:
-            system, path = opened(self._paths.pop(name))
-            system.delete_dir(path)
+            path = context._jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
         gc.collect()
-        self._spark.sparkContext._jvm.System.gc()
+        context._jvm.System.gc()
