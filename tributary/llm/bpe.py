@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT_PIECE = 96
-CACHED_WORDS = 200_000
-CACHED_PIECES = 300_000
+CACHED_WORDS = 100_000
+CACHED_PIECES = 120_000
 OUTPUT_BYTES = 8 << 20
 
 _NONE = 1 << 60
@@ -180,10 +180,11 @@ class _Words(dict):
     def __init__(self, vocabulary: Vocabulary, lead: str):
         super().__init__()
         self._vocabulary, self._lead = vocabulary, lead
+        self._most = CACHED_WORDS if lead else CACHED_WORDS // 8
 
     def __missing__(self, word: str) -> bytes:
         packed = self._vocabulary.word(self._lead, word)
-        if len(self) < CACHED_WORDS and len(word) <= SHORT_PIECE:
+        if len(self) < self._most and len(word) <= SHORT_PIECE:
             self[word] = packed
         return packed
 

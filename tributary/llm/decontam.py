@@ -181,8 +181,9 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, steps: int =
 class Searched(NamedTuple):
     """A block of passages with their items, and the space; bounded by BLOCK, BUCKETS and RANK."""
 
-    fold: np.ndarray  # basis rows times word weight, and a row of zeros for the empty bucket
-    squares: np.ndarray  # squared word weights, likewise
+    row_of: np.ndarray  # row of `fold` for every bucket and for the empty one; 0 where the space has none
+    fold: np.ndarray  # basis rows times word weight, after a row of zeros
+    squares: np.ndarray  # squared word weights, 0 for the empty bucket
     latent: np.ndarray  # unit vectors of the passages
     first: np.ndarray
     item_of: np.ndarray  # index into items
@@ -201,8 +202,11 @@ def searched(rows: list, basis: np.ndarray, idf: np.ndarray) -> Searched:
     answers = {(r.item_id, tuple(r.item)): r.answer_at for r in rows}
     items = [np.array(i, dtype=np.int64).view(np.uint64) for _, i in numbers]
     first = np.array([r.first for r in rows])
-    fold = np.vstack([basis * idf[:, None], np.zeros((1, basis.shape[1]), dtype=np.float32)])
-    return Searched(fold, np.append(idf.astype(np.float64) ** 2, 0.0), latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers])
+    held = np.flatnonzero(basis.any(axis=1))
+    row_of = np.zeros(BUCKETS + 1, dtype=np.int32)
+    row_of[held] = np.arange(1, len(held) + 1)
+    fold = np.vstack([np.zeros((1, basis.shape[1]), dtype=np.float32), basis[held] * idf[held, None]])
+    return Searched(row_of, fold, np.append(idf.astype(np.float64) ** 2, 0.0), latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers])
 
 
 def common_subsequence(item: list, text: list) -> int:
@@ -256,7 +260,7 @@ def matches(column: pa.Array, s: Searched):
         place = start[:, None] + np.arange(STRIDE)
         place[place >= c.offsets[1:][row][:, None]] = n  # beyond the text: the empty bucket
         held = bucket[place]
-        blocks = s.fold[held].sum(axis=1)
+        blocks = s.fold[s.row_of[held]].sum(axis=1)
         lengths = s.squares[held].sum(axis=1)
         window, whole = blocks.copy(), lengths.copy()
         for k in range(1, PASSAGE // STRIDE):
