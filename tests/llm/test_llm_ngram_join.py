@@ -59,6 +59,12 @@ def documents(seed, group):
         for _ in range(rng.randint(0, 8)):
             w[rng.randrange(len(w))] = f"x{rng.randrange(1000)}"
         docs.append((i, " ".join(w)))
+    long = [f"l{rng.randrange(4000)}" for _ in range(3000)]
+    for i in range(90, 96):
+        w = list(long) if i % 3 else [f"m{rng.randrange(4000)}" for _ in range(1500 + i)] + long[:1300]
+        for _ in range(20 * (i - 89)):
+            w[rng.randrange(len(w))] = f"y{rng.randrange(1000)}"
+        docs.append((i, " ".join(w)))
     docs += [(7, docs[40][1]), (7, docs[40][1]), (8, "another text of eight")]
     rng.shuffle(docs)
     return [(i, t, "c", 1, "g") for i, t in docs]
@@ -88,6 +94,21 @@ def test_empty_table(spark):
     assert ngram_join.component_table(none).collect() == [] and ngram_join.one_of_each(none, 4, 85).collect() == []
 
 
+def test_sketches_never_differ_in_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    for n, m in ((10, 12), (600, 3000), (2000, 2100), (5000, 9000)):
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 62, m).astype(np.uint64)]))
+        differ = len(np.setxor1d(a, b))
+        short = wide = None
+        x, y = (np.frombuffer(ngram_join.sketch(s), dtype=np.uint64) for s in (a, b))
+        short = int(np.bitwise_count(x ^ y).sum())
+        assert short <= differ and (short - differ) % 2 == 0
+        if len(a) > 1024 and len(b) > 1024:
+            wide = ngram_join.wide_difference(ngram_join.wide_sketch(a), ngram_join.wide_sketch(b))
+            assert short <= wide <= differ and (wide - differ) % 2 == 0
+
+
 def test_most_difference_is_exact():
     for percent in (50, 80, 85, 100):
         for n in range(1, 60):

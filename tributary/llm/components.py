@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import write_and_reload
+from tributary.llm.steps import Steps
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -28,12 +28,15 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) for every node of the links (a, b)."""
+    steps = Steps(links.sparkSession)
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now, mark = write_and_reload(now, "links"), None
+    now, mark, turn = steps.keep(now, "round-0"), None, 0
     while True:
         # A fingerprint of the whole round: one row.
         found = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(found) == mark or not found[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
-        mark = tuple(found)
-        now = write_and_reload(_small_star(write_and_reload(_large_star(now).distinct(), "large-star")), "small-star")
+        mark, turn = tuple(found), turn + 1
+        large = steps.keep(_large_star(now).distinct(), "large-star")
+        now = steps.keep(_small_star(large), f"round-{turn}")
+        steps.drop("large-star", f"round-{turn - 1}")

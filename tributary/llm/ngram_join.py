@@ -6,8 +6,8 @@
    within their prefixes. Classes with the same size and the same prefix are one group; groups that
    share a prefix n-gram are a bucket, and a group with several classes is a bucket of its own.
 3. Buckets are expanded to their classes, large ones into blocks, so that no task ever holds more than
-   two blocks. Sizes and 512-bit parity sketches rule pairs out without loss: the sketches differ
-   in at most as many bits as the sets differ in n-grams.
+   two blocks. Sizes and 512-bit parity sketches (wider ones for long sets) rule pairs out without
+   loss: the sketches differ in at most as many bits as the sets differ in n-grams.
 4. Of the pairs left, a bucket first proposes a spanning forest only, nearest pairs first. Proposals are
    verified on the whole sets; whatever joins two components then is needed no more. A second look
    at the large buckets proposes all pairs left between different components, so no link that could
@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.components import components
+from tributary.llm.steps import Steps
 from tributary.llm.words import chunks, join_hashes, mix
-from tributary.session import write_and_reload
 
 WORDS = 4
 PERCENT = 85
@@ -79,9 +79,29 @@ def second_digest(s: np.ndarray) -> int:
     return int(np.add.reduce(mix(s ^ _U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0
 
 
-def sketch(s: np.ndarray) -> bytes:
-    bits = np.bincount((mix(s) % _U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
+    """Parity of the number of n-grams at each place."""
+    odd = np.bincount((mix(s) % _U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def wide_sketch(s: np.ndarray) -> bytes | None:
+    """A sketch with a place for every second n-gram at least, for sets that fill the usual one."""
+    bits = SKETCH_BITS
+    while 2 * bits < len(s):
+        bits *= 2
+    return sketch(s, bits) if bits > SKETCH_BITS else None
+
+
+def wide_difference(a: bytes, b: bytes) -> int:
+    """Differing places of two wide sketches; the halves of a longer one fold onto each other."""
+    x, y = np.frombuffer(a, dtype=_U), np.frombuffer(b, dtype=_U)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -115,7 +135,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, d1, d2, prefix, sketch of every row."""
+    """doc_id, n, d1, d2, prefix, sketch, wide of every row."""
     often = frequent(docs, words)
     order = np.argsort(often)
     sorted_often, rank = often[order], order.astype(_U)
@@ -132,31 +152,32 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                         late = s[last][np.argsort(rank[at[last]])]
                         keep = np.concatenate([s[~last], late])
                 prefix = keep[: prefix_size(len(s), percent)].view(np.int64) if len(s) else s.view(np.int64)
-                out.append((len(s), set_digest(s), second_digest(s), prefix, sketch(s)))
-            n, d1, d2, prefixes, sketches = zip(*out, strict=True) if out else ((),) * 5
+                out.append((len(s), set_digest(s), second_digest(s), prefix, sketch(s), wide_sketch(s)))
+            n, d1, d2, prefixes, sketches, wide = zip(*out, strict=True) if out else ((),) * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n", "d1", "d2", "prefix", "sketch"],
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(wide, pa.binary())],
+                names=["doc_id", "n", "d1", "d2", "prefix", "sketch", "wide"],
             )
 
-    return _texts(docs).mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, prefix array<long>, sketch binary")
+    return _texts(docs).mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, prefix array<long>, sketch binary, wide binary")
 
 
 def classes_of(signed: DataFrame) -> DataFrame:
-    """gid (smallest doc_id), n, d1, d2, prefix, sketch, grp of every distinct set."""
+    """gid (smallest doc_id), n, d1, d2, prefix, sketch, wide, grp of every distinct set."""
     own = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2")
-    found = own.agg(F.min("doc_id").alias("gid"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch"))
+    found = own.agg(F.min("doc_id").alias("gid"), *[F.any_value(c).alias(c) for c in ("prefix", "sketch", "wide")])
     return found.withColumn("grp", F.xxhash64("n", "prefix"))
 
 
-def buckets_of(classes: DataFrame) -> DataFrame:
+def buckets_of(classes: DataFrame, steps: Steps) -> DataFrame:
     """key, grp, gid, d1, n, sketch, members: the classes that meet, with the size of their bucket."""
     groups = classes.groupBy("grp").agg(F.count("*").alias("in_group"))
     one_each = classes.select("grp", "prefix").dropDuplicates(["grp"])
     tokens = one_each.select("grp", F.explode("prefix").alias("key"))
     met = tokens.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    shared = write_and_reload(tokens.join(met, "key"), "shared-tokens")
+    shared = steps.keep(tokens.join(met, "key"), "shared")
+    steps.drop()
     sized = shared.join(groups, "grp")
     members = sized.groupBy("key").agg(F.sum("in_group").alias("members"))
     between = shared.join(members, "key")
@@ -203,6 +224,27 @@ def _forest(d: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _sharpened(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs without those of long sets that their wide sketches rule out."""
+
+    def keep(batches):
+        for batch in batches:
+            na, nb, a, b = (batch.column(k) for k in range(5, 9))
+            fits = [
+                not (x.is_valid and y.is_valid)
+                or wide_difference(x.as_py(), y.as_py()) <= int(most_difference(np.int64(n.as_py()), np.int64(m.as_py()), percent))
+                for n, m, x, y in zip(na, nb, a, b, strict=True)
+            ]
+            yield batch.select(names).filter(pa.array(fits, pa.bool_()))
+
+    names = ["a", "ad", "b", "bd", "bits"]
+    wide = classes.where("wide IS NOT NULL")
+    one = wide.select(F.col("gid").alias("a"), F.col("d1").alias("ad"), F.col("n").alias("an"), F.col("wide").alias("aw"))
+    two = wide.select(F.col("gid").alias("b"), F.col("d1").alias("bd"), F.col("n").alias("bn"), F.col("wide").alias("bw"))
+    joined = pairs.join(one, ["a", "ad"], "left").join(two, ["b", "bd"], "left").select(*names, "an", "bn", "aw", "bw")
+    return joined.mapInArrow(keep, "a long, ad long, b long, bd long, bits int")
+
+
 def _compare(buckets: DataFrame, percent: int, spanning: bool) -> DataFrame:
     """a, ad, b, bd, bits of proposed pairs: per bucket a spanning forest, or all pairs between components."""
     kinds = pa.schema([("a", pa.int64()), ("ad", pa.int64()), ("b", pa.int64()), ("bd", pa.int64()), ("bits", pa.int32())])
@@ -302,7 +344,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 
     chosen = _texts(docs).join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
     packed = chosen.mapInArrow(pack, "gid long, d1 long, grams binary")
-    return write_and_reload(packed.dropDuplicates(["gid", "d1"]), "sets")
+    return packed
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -336,36 +378,50 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 def component_table(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    signed = write_and_reload(signatures(docs, words, percent), "signatures")
-    classes = write_and_reload(classes_of(signed), "classes")
-    buckets = write_and_reload(buckets_of(classes), "buckets")
-
-    proposed = write_and_reload(_compare(buckets.withColumn("comp", F.xxhash64("gid", "d1")), percent, spanning=True), "proposed")
-    sets = _sets(docs, proposed, words)
+    steps = Steps(docs.sparkSession)
+    signed = steps.keep(signatures(docs, words, percent), "signatures")
+    classes = steps.keep(classes_of(signed), "classes")
+    buckets = steps.keep(buckets_of(classes, steps), "buckets")
+    steps.drop("shared")
+
+    met = _compare(buckets.withColumn("comp", F.xxhash64("gid", "d1")), percent, spanning=True)
+    proposed = steps.keep(_sharpened(met, classes, percent), "proposed")
+    steps.drop()
+    sets = steps.keep(_sets(docs, proposed, words), "sets")
+    steps.drop()
     # First the nearest proposal of every document, which joins most of what belongs together.
     ends = proposed.select("*", F.col("a").alias("own")).union(proposed.select("*", F.col("b").alias("own")))
     nearest = ends.groupBy("own").agg(F.min(F.struct("bits", "a", "ad", "b", "bd")).alias("p")).select("p.*").distinct()
-    links = write_and_reload(_verified(nearest, sets, percent), "links")
-    parts = write_and_reload(components(links), "parts")
-    rest = write_and_reload(_apart(proposed.join(nearest, ["a", "ad", "b", "bd"], "left_anti"), parts), "rest")
-    links = write_and_reload(links.union(_verified(rest, sets, percent)), "links")
-    parts = write_and_reload(components(links), "parts")
+    nearest = steps.keep(nearest, "nearest")
+    first = steps.keep(_verified(nearest, sets, percent), "first-links")
+    parts = steps.keep(components(first), "first-parts")
+    rest = steps.keep(_apart(proposed.join(nearest, ["a", "ad", "b", "bd"], "left_anti"), parts), "rest")
+    steps.drop("nearest", "first-parts")
+    links = steps.keep(first.union(_verified(rest, sets, percent)), "links")
+    parts = steps.keep(components(links), "parts")
+    steps.drop("first-links", "rest", "sets")
 
     # Small buckets have proposed all their pairs; large ones only a forest.
     large = buckets.where(F.col("members") > SMALL_BUCKET).join(parts, F.col("gid") == F.col("node"), "left")
-    large = write_and_reload(large.withColumn("comp", F.coalesce("component", "gid")).drop("node", "component"), "large")
+    large = steps.keep(large.withColumn("comp", F.coalesce("component", "gid")).drop("node", "component"), "large")
+    steps.drop("buckets", "parts")
     mixed = large.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     again = _compare(large.join(mixed, "key", "left_semi"), percent, spanning=False)
-    again = write_and_reload(again.join(proposed, ["a", "ad", "b", "bd"], "left_anti"), "again")
-    links = links.union(_verified(again, _sets(docs, again, words), percent))
+    again = steps.keep(_sharpened(again.join(proposed, ["a", "ad", "b", "bd"], "left_anti"), classes, percent), "again")
+    steps.drop("large", "proposed")
+    more = steps.keep(_verified(again, _sets(docs, again, words), percent), "more-links")
+    steps.drop("again")
+    links = links.union(more)
 
     named = classes.select(F.col("n").alias("cn"), F.col("d1").alias("c1"), F.col("d2").alias("c2"), "gid")
     same = (F.col("n") == F.col("cn")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))
-    rows = write_and_reload(signed.select("doc_id", "n", "d1", "d2").join(named, same, "left").select("doc_id", "n", "gid"), "rows")
+    rows = steps.keep(signed.select("doc_id", "n", "d1", "d2").join(named, same, "left").select("doc_id", "n", "gid"), "rows")
+    steps.drop("signatures", "classes")
     # A document with several texts links their classes.
     several = rows.where("n > 0").groupBy("doc_id").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low < high").select("doc_id")
     links = links.union(rows.where("n > 0").join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b")))
-    parts = write_and_reload(components(links), "parts")
+    parts = steps.keep(components(links), "all-parts")
+    steps.drop("links", "more-links")
     labelled = rows.join(parts, F.col("gid") == F.col("node"), "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "gid")).otherwise(F.col("doc_id"))
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
@@ -375,6 +431,9 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The documents, all columns, without those that are linked to one with a smaller doc_id. Of rows
     that share a doc_id one stays; rows without one stay unless their text is that of another row."""
     found = component_table(docs, words, percent)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    name = "kept_id"
+    while name in docs.columns:
+        name += "_"
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    with_id = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col(name), "left_semi")
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
