@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.steps import Steps
 from tributary.llm.words import Chunk, chunks, join_hashes, mix
-from tributary.session import write_and_reload
 
 LENGTH = 13
 _ROWS = "hash long, doc_id long, at long"
@@ -114,8 +114,7 @@ def _per_document(rows: DataFrame) -> DataFrame:
     return split.groupBy(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag")).agg(F.collect_list("place").alias("places"))
 
 
-def _joined(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    hits = _per_document(rows)
+def _joined(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     same = (F.col("doc_id") == F.col("hit_id")) & (F.col("tag") == F.col("hit_tag"))
     return docs.join(hits, same, how).drop("hit_id", "hit_tag")
 
@@ -144,17 +143,22 @@ def extended(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFram
                 yield _rows(w.full(starts), *_places(chunk, starts, ids, tags), ("hash", "doc_id", "at"))
 
     keyed = _keyed(docs).where("doc_id IS NOT NULL")
-    return _joined(keyed, hits, "inner").select("doc_id", "tag", "text", "places").mapInArrow(extend, _ROWS)
+    return _joined(keyed, _per_document(hits), "inner").select("doc_id", "tag", "text", "places").mapInArrow(extend, _ROWS)
 
 
 def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, at of the windows that also start in a document with a smaller id."""
+    """hit_id, hit_tag, places of the windows that also start in a document with a smaller id."""
     if length < 2:
         raise ValueError("a window has at least two words")
-    found = write_and_reload(anchors(docs, length), "anchors")
-    hits = write_and_reload(repeated(found).select("doc_id", "at"), "hits")
-    windows = write_and_reload(extended(docs, hits, length), "windows")
-    return write_and_reload(repeated(windows).where("doc_id > least_id").select("doc_id", "at"), "removed")
+    steps = Steps(docs.sparkSession)
+    found = steps.keep(anchors(docs, length), "anchors")
+    hits = steps.keep(repeated(found).select("doc_id", "at"), "hits")
+    steps.drop("anchors")
+    windows = steps.keep(extended(docs, hits, length), "windows")
+    steps.drop("hits")
+    removed = steps.keep(_per_document(repeated(windows).where("doc_id > least_id")), "removed")
+    steps.drop("windows")
+    return removed
 
 
 def _cut(text: str, places: list[int] | None, length: int) -> tuple[int, list[bytes]]:
