@@ -1,5 +1,6 @@
 """Planted benchmark items, exact and changed, and the pieces of the search against plain versions."""
 
+import itertools
 import random
 import re
 
@@ -99,3 +100,36 @@ def test_words_are_split_at_marks():
     text = "Ab,c-É éx\x85y 9.z\x00w"
     (c,) = chunks(pa.array([text]), lower=True, plain=True)
     assert len(c.words) == len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text))
+
+
+def test_recall_does_not_fall_with_the_size_of_the_benchmark(spark):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(50_000)]
+    often = list(itertools.accumulate(1 / (k + 5) for k in range(len(words))))
+    texts = [rng.choices(words, cum_weights=often, k=rng.randint(15, 59)) for _ in range(4000)]
+    docs, planted = [], set()
+    for i in range(0, 4000, 8):
+        item = list(texts[i])
+        if i % 16:
+            for k in rng.sample(range(len(item)), len(item) // 10):
+                item[k] = rng.choice(words)
+        own = rng.choices(words, cum_weights=often, k=rng.choice([0, 40, 300]))
+        at = rng.randint(0, len(own))
+        docs.append((i, " ".join(own[:at] + item + own[at:]), "x", 1))
+        planted.add((i, i))
+    items = spark.createDataFrame([(i, " ".join(t), "f") for i, t in enumerate(texts)], ITEMS)
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(docs, KINDS).repartition(8), items).collect()}
+    exact = {p for p in planted if p[0] % 16 == 0}
+    assert exact <= got and len(planted & got) >= 0.98 * len(planted)
+    assert len(got - planted) <= 0.01 * len(planted)
+
+
+def test_copies_are_found_outside_the_space(spark):
+    items = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa", "f"), (2, "word", "f"), (3, "two words", "f")], ITEMS)
+    rows = items.orderBy("item_id").select("item_id")
+    cut = decontam.passages(items.join(rows, "item_id")).orderBy("item_id").collect()
+    nothing = np.zeros((decontam.BUCKETS, 4), dtype=np.float32)
+    s = decontam.searched(cut, nothing, np.ones(decontam.BUCKETS, dtype=np.float32))
+    texts = ["x " * 50 + "alpha beta gamma delta epsilon zeta eta theta iota kappa", "two", "words two", "a two words", "word"]
+    got = [(m[0], s.item_ids[m[2]]) for m in decontam.matches(pa.array(texts), [s])]
+    assert sorted(got) == [(0, 1), (3, 3), (4, 2)]

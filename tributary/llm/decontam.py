@@ -2,18 +2,21 @@
 
 1. Document frequencies of hashed words come from all documents. Benchmark items are cut into passages
    of PASSAGE words, each a TF-IDF vector over the hash buckets.
-2. A randomised singular value decomposition of the passage matrix gives a latent space: every step
-   multiplies a block of vectors by the matrix and its transpose, a part of the passages in each task; only
-   the block itself (BUCKETS x RANK) meets on the driver.
-3. Every document is read as overlapping windows of PASSAGE words. Their vectors are folded into the space
-   and compared with all passages in blocks of matrix products: by the cosine inside the space, and by
-   the cosine that counts what the space leaves out of the window as well.
-4. Each window that is near a passage is checked against the whole item around it: the longest common
-   subsequence of words must hold most of the item, or a good part of it together with the item's
-   answer (its last sentence). Items of few words must occur as they stand.
-
-The benchmark is the query set: it is taken in blocks of BLOCK passages, each block one pass over the
-documents, so what travels to the tasks is bounded.
+2. The benchmark is taken in blocks of about BLOCK passages, each with a latent space of its own, so a
+   space has one dimension for every PER_DIMENSION passages however many there are. A randomised singular
+   value decomposition of the block's matrix gives the space: every step multiplies a block of vectors by
+   the matrix and its transpose, a part of the passages in each task; only the block itself meets on the driver.
+3. Every document is read as overlapping windows of PASSAGE words. Their vectors are folded into each space
+   and compared with its passages in matrix products, by the cosine inside the space.
+4. Beside that, runs of words that stand in a document as in an item are looked up: the whole of an item of few
+   words, else its pairs of neighbours. An item of n words of which `missing` are changed or left out keeps
+   n - 1 - 2 * missing pairs at least; places where half of the pairs kept at MOST_OF_ITEM stand
+   within the slack are candidates, so copies are found whatever the spaces hold.
+5. Each candidate is checked against the whole item around it: the longest common subsequence of words
+   must hold most of the item, or a good part of it together with the item's answer (its last
+   sentence). Items of few words must occur as they stand.
+
+The documents are read once for every SPACES blocks, so what travels to the tasks is bounded.
 
 Results: null or empty texts match nothing; an item without words is never found. Words are compared
 in lower case (A-Z), with ASCII marks as white space. Rows that share a doc_id give one result; a null doc_id
@@ -29,21 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.words import chunks
+from tributary.llm.words import Chunk, chunks, join_hashes
 from tributary.session import write_and_reload
 
 BUCKETS = 1 << 16
 RANK = 128
+PER_DIMENSION = 4
 STEPS = 3
 PASSAGE = 32
 STRIDE = 16
 COSINE = 0.65
-WHOLE_COSINE = 0.15
 MOST_OF_ITEM = 0.7
 PART_OF_ITEM = 0.5
 ANSWER_SHARE = 0.8
 FEW_WORDS = 8
-BLOCK = 4096
+BLOCK = 512
+SPACES = 4
 SEED = 11
 _PIECE = 1024
 
@@ -178,18 +182,50 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, steps: int =
     return dense(used, rows)
 
 
+class Runs(NamedTuple):
+    """Hashes of the runs of `size` neighbouring words of items, in order, with the item and the place in it."""
+
+    size: int
+    hashes: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+
+
 class Searched(NamedTuple):
-    """A block of passages with their items, and the space; bounded by BLOCK, BUCKETS and RANK."""
+    """A block of passages with their items, and their space; bounded by BLOCK, BUCKETS and the rank."""
 
     row_of: np.ndarray  # row of `fold` for every bucket and for the empty one; 0 where the space has none
     fold: np.ndarray  # basis rows times word weight, after a row of zeros
-    squares: np.ndarray  # squared word weights, 0 for the empty bucket
     latent: np.ndarray  # unit vectors of the passages
     first: np.ndarray
     item_of: np.ndarray  # index into items
     item_ids: list
     items: list[np.ndarray]
     answer_at: list[int]
+    runs: list[Runs]  # of the items whose first passage is in the block
+    needed: np.ndarray  # runs of an item that make a candidate
+
+
+def needed_pairs(n: int) -> int:
+    """Half of the pairs of neighbours that an item of n words keeps if MOST_OF_ITEM of its words stand; 1 at least."""
+    missing = int((1 - MOST_OF_ITEM) * n + 1e-9)
+    return max(1, (n - 1 - 2 * missing) // 2)
+
+
+def _runs(items: list[np.ndarray], chosen: list[int]) -> list[Runs]:
+    by_size: dict[int, list[int]] = {}
+    for i in chosen:
+        n = len(items[i])
+        by_size.setdefault(n if n < FEW_WORDS else 2, []).append(i)
+    out = []
+    for size, own in sorted(by_size.items()):
+        hashes = [join_hashes(items[i], size) for i in own]
+        item = np.repeat(own, [len(h) for h in hashes])
+        at = np.concatenate([np.arange(len(h)) for h in hashes])
+        joined = np.concatenate(hashes)
+        order = np.argsort(joined, kind="stable")
+        out.append(Runs(size, joined[order], item[order], at[order]))
+    return out
 
 
 def searched(rows: list, basis: np.ndarray, idf: np.ndarray) -> Searched:
@@ -206,7 +242,9 @@ def searched(rows: list, basis: np.ndarray, idf: np.ndarray) -> Searched:
     row_of = np.zeros(BUCKETS + 1, dtype=np.int32)
     row_of[held] = np.arange(1, len(held) + 1)
     fold = np.vstack([np.zeros((1, basis.shape[1]), dtype=np.float32), basis[held] * idf[held, None]])
-    return Searched(row_of, fold, np.append(idf.astype(np.float64) ** 2, 0.0), latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers])
+    runs = _runs(items, np.unique(item_of[first == 0]).tolist())
+    needed = np.array([1 if len(i) < FEW_WORDS else needed_pairs(len(i)) for i in items])
+    return Searched(row_of, fold, latent, first, item_of, [i for i, _ in numbers], items, [answers[k] for k in numbers], runs, needed)
 
 
 def common_subsequence(item: list, text: list) -> int:
@@ -244,8 +282,45 @@ def judged(item: np.ndarray, answer_at: int, region: np.ndarray) -> tuple[float,
     return (share, found) if share >= MOST_OF_ITEM or found >= ANSWER_SHARE else None
 
 
-def matches(column: pa.Array, s: Searched):
-    """row, item index, share, answer share, cosine of every item found in the texts of a column."""
+def _slack(size):
+    """Words by which a copy may begin earlier or later, or be longer, than the item says."""
+    return size // 4 + PASSAGE
+
+
+def _standing(c: Chunk, s: Searched) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, item index and beginning of the places where enough runs of an item stand."""
+    n, total = len(c.words), max(1, len(s.items))
+    slack = _slack(np.array([len(i) for i in s.items]))
+    far = n + max(map(len, s.items))  # an item may seem to begin before its text
+    far += -far % STRIDE
+    keys = [np.empty(0, dtype=np.int64)]
+    for runs in s.runs:
+        own = join_hashes(c.words, runs.size)
+        low = np.searchsorted(runs.hashes, own)
+        place = np.flatnonzero(runs.hashes[np.minimum(low, len(runs.hashes) - 1)] == own)
+        row = np.searchsorted(c.offsets, place, side="right") - 1
+        inside = place + runs.size <= c.offsets[row + 1]
+        place, row = place[inside], row[inside]
+        count = np.searchsorted(runs.hashes, own[place], side="right") - low[place]
+        k = np.repeat(low[place] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        begins = np.repeat(place, count) - runs.at[k] + far - n
+        keys.append((np.repeat(row, count) * total + runs.item[k]) * far + begins)
+    key = np.sort(np.concatenate(keys))
+    pair, begins = key // far, key % far - (far - n)
+    item = pair % total
+    last = np.arange(len(key)) + s.needed[item] - 1
+    fits = last < len(key)
+    last[~fits] = 0
+    fits &= (pair[last] == pair) & (begins[last] - begins <= slack[item])
+    chosen = np.flatnonzero(fits)
+    # Beginnings within one stride have the same words around them, up to what the slack adds anyway.
+    _, single = np.unique(key[chosen] // STRIDE, return_index=True) if len(chosen) else (None, chosen)
+    chosen = chosen[single]
+    return pair[chosen] // total, item[chosen], begins[chosen]
+
+
+def matches(column: pa.Array, spaces: list[Searched]):
+    """row, space, item index, share, answer share, cosine of every item found in the texts of a column."""
     for c in chunks(column, lower=True, plain=True):
         n = len(c.words)
         if not n:
@@ -260,48 +335,62 @@ def matches(column: pa.Array, s: Searched):
         place = start[:, None] + np.arange(STRIDE)
         place[place >= c.offsets[1:][row][:, None]] = n  # beyond the text: the empty bucket
         held = bucket[place]
-        blocks = s.fold[s.row_of[held]].sum(axis=1)
-        lengths = s.squares[held].sum(axis=1)
-        window, whole = blocks.copy(), lengths.copy()
-        for k in range(1, PASSAGE // STRIDE):
-            same = row[k:] == row[:-k]
-            window[:-k][same] += blocks[k:][same]
-            whole[:-k][same] += lengths[k:][same]
-        inside = np.linalg.norm(window, axis=1)
-        least = np.maximum(COSINE * inside, WHOLE_COSINE * np.sqrt(whole)).astype(np.float32)
-        possible = np.flatnonzero((inside > 0) & (inside >= least))
-        near = window[possible] @ s.latent.T
-        at, which = np.nonzero(near >= least[possible, None])
-        cosines = near[at, which] / inside[possible[at]]
-        at = possible[at]
-        seen = set()
-        for k in np.argsort(-cosines, kind="stable").tolist():
-            w, p = int(at[k]), int(which[k])
-            r, item = int(row[w]), int(s.item_of[p])
-            if (r, item) in seen:
-                continue
-            size = len(s.items[item])
-            slack = size // 4 + PASSAGE
-            begins = int(start[w]) - int(s.first[p])
-            a, b = max(int(c.offsets[r]), begins - slack), min(int(c.offsets[r + 1]), begins + max(size, PASSAGE) + slack)
-            found = judged(s.items[item], s.answer_at[item], c.words[a:b])
-            if found:
-                seen.add((r, item))
-                yield c.first + r, item, *found, float(cosines[k])
+        for number, s in enumerate(spaces):
+            blocks = s.fold[s.row_of[held]].sum(axis=1)
+            window = blocks.copy()
+            for k in range(1, PASSAGE // STRIDE):
+                same = row[k:] == row[:-k]
+                window[:-k][same] += blocks[k:][same]
+            inside = np.linalg.norm(window, axis=1)
+            possible = np.flatnonzero(inside > 0)
+            near = window[possible] @ s.latent.T
+            at, which = np.nonzero(near >= (COSINE * inside[possible])[:, None])
+            cosines = near[at, which] / inside[possible[at]]
+            at = possible[at]
+            seen = set()
+
+            def region(r: int, item: int, begins: int, s=s, c=c) -> tuple[int, int]:
+                size = len(s.items[item])
+                return max(int(c.offsets[r]), begins - _slack(size)), min(int(c.offsets[r + 1]), begins + max(size, PASSAGE) + _slack(size))
+
+            for k in np.argsort(-cosines, kind="stable").tolist():
+                w, p = int(at[k]), int(which[k])
+                r, item = int(row[w]), int(s.item_of[p])
+                if (r, item) in seen:
+                    continue
+                a, b = region(r, item, int(start[w]) - int(s.first[p]))
+                found = judged(s.items[item], s.answer_at[item], c.words[a:b])
+                if found:
+                    seen.add((r, item))
+                    yield c.first + r, number, item, *found, float(cosines[k])
+            for r, item, begins in zip(*(x.tolist() for x in _standing(c, s)), strict=True):
+                if (r, item) in seen:
+                    continue
+                a, b = region(r, item, begins)
+                found = judged(s.items[item], s.answer_at[item], c.words[a:b])
+                if found:
+                    seen.add((r, item))
+                    around = np.flatnonzero((row == r) & (start + PASSAGE > a) & (start < b))
+                    products = window[around] @ s.latent[s.item_of == item].T
+                    cosine = (products / np.maximum(inside[around], 1e-9)[:, None]).max(initial=0.0)
+                    yield c.first + r, number, item, *found, float(cosine)
 
 
 def _blocks(docs: DataFrame, benchmark: DataFrame):
-    """Broadcast blocks of the benchmark's passages in a latent space made for them."""
+    """Broadcast groups of blocks of the benchmark's passages, each block in a latent space made for it."""
     idf = weights(frequencies(docs))
     cut = write_and_reload(passages(benchmark), "passages")
-    basis = latent_space(cut, idf)
-    many = cut.count()
-    parts = -(-many // BLOCK)
-    numbered = cut.withColumn("part", F.pmod(F.xxhash64("item_id", "item"), F.lit(max(1, parts))))
-    for part in range(parts):
-        rows = numbered.where(F.col("part") == part).orderBy("item_id", "first").collect()
-        if rows:
-            yield docs.sparkSession.sparkContext.broadcast(searched(rows, basis, idf))
+    parts = -(-cut.count() // BLOCK)
+    numbered = cut.withColumn("part", F.pmod(F.xxhash64("item_id", "first", "words"), F.lit(max(1, parts))))
+    for group in range(0, parts, SPACES):
+        spaces = []
+        for part in range(group, min(parts, group + SPACES)):
+            own = numbered.where(F.col("part") == part)
+            rows = own.orderBy("item_id", "first").collect()
+            if rows:
+                spaces.append(searched(rows, latent_space(own, idf, max(RANK, -(-len(rows) // PER_DIMENSION))), idf))
+        if spaces:
+            yield docs.sparkSession.sparkContext.broadcast(spaces)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -313,7 +402,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def search(batches, shared=shared):
             for batch in batches:
-                rows = [(batch.column(0)[r].as_py(), shared.value.item_ids[i], a, b, c) for r, i, a, b, c in matches(batch.column(1), shared.value)]
+                spaces = shared.value
+                rows = [(batch.column(0)[r].as_py(), spaces[k].item_ids[i], a, b, c) for r, k, i, a, b, c in matches(batch.column(1), spaces)]
                 if rows:
                     kind = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                     arrays = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kind, strict=True)]
