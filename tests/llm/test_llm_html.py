@@ -108,3 +108,20 @@ def test_marked_pages_of_the_table(spark, field):
         found, labels = html_crf.marked_page(r.html)
         same += got[r.page_id] == "\n".join(b.text for b, y in zip(found, labels, strict=True) if y)
     assert same >= 0.98 * len(got)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', ["one two", "three"]),
+        ("<article><p>one <svg> no</p><p>two</p></article>three", ["one", "two", "three"]),
+        ("<p>one <object data=x> no</p><p>two", ["one", "two"]), ("<p>one <select><option>no</p><p>two", ["one", "two"]),
+        ("<div>one <template> no<div>two</div></div>", ["one", "two"]),
+        ("<p>a<template><p>no</p></template>b<svg><title>no</title><text>no</text></svg>c</p>", ["a b c"]),
+        ("<p>a<object><object>no</object>no</object>b", ["a b"]), ("<p>a<object data=x />b</p>", ["a b"]),
+        ("<head><title>no</title><p>one</p><p>two", ["one", "two"]), ("<head><title>no</title>one<p>two", ["one", "two"]),
+        ("<head><meta x></head>one", ["one"]),
+    ],
+)
+def test_no_text_is_lost_to_elements_without_an_end(page, want):
+    assert texts(page) == want

@@ -2,7 +2,9 @@
 
 Tags are read one after the other with the rules that matter for text: elements that end an open
 paragraph, list item or cell; elements without content; raw text of scripts and the like, which is no
-text of the page; end tags without a start, which are ignored. Character references are decoded, and white
+text of the page; objects, lists to choose from, drawings and templates, which are none up to their end tag,
+or, without one, up to the end of the element around them or the next block; end tags without a start, which
+are ignored. A head without an end tag and without a body ends at the first text or block. Character references are decoded, and white
 space inside a block becomes one space.
 """
 
@@ -19,14 +21,15 @@ BLOCK = frozenset(
     " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre search"
     " section summary table tbody td tfoot th thead tr ul".split()
 )
-NO_TEXT = "script style textarea title noscript template svg iframe object select head"
+RAW = "script style textarea title noscript iframe"
+APART = frozenset("object select svg template".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("body html button caption dd dt label legend li option tbody td tfoot th thead tr summary".split())
 ENDS_SAME = {
     "li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "td": ("td th", "tr table"), "th": ("td th", "tr table"),
     "tr": ("tr", "table"), "option": ("option", "select"), "tbody": ("tbody thead tfoot", "table"), "tfoot": ("tbody thead tfoot", "table"),
 }
 
-_RAW = "|".join(t for t in NO_TEXT.split() if t != "head")
+_RAW = "|".join(RAW.split())
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -36,6 +39,7 @@ _TAG = re.compile(
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
+_ENDS = re.compile(r"<(?:object|select|svg|template|head)\b", re.IGNORECASE)
 _CACHED = 20_000
 
 
@@ -65,6 +69,7 @@ class _Page:
         self._linked = 0
         self._where: tuple | None = None
         self._known: dict[tuple[str, str], tuple[str, ...]] = {}
+        self.head_ends = True  # by its own end tag, or by the start of the body
 
     def push(self, name: str, rest: str) -> None:
         marks = self._known.get((name, rest))
@@ -102,6 +107,10 @@ class _Page:
 
     def text(self, raw: str) -> None:
         if self._open.get("head"):
+            if self.head_ends or raw.isspace():
+                return
+            self.close("head")
+        if any(self._open.get(n) for n in APART):
             return
         if self._where is None:
             if raw.isspace():
@@ -123,7 +132,10 @@ class _Page:
     def start(self, name: str, rest: str) -> None:
         if name in BLOCK:
             self.flush()
-        if name == "body":
+            if name not in ("option", "legend"):
+                for n in APART:
+                    self.close(n)
+        if name == "body" or (name in BLOCK and name != "html" and not self.head_ends):
             self.close("head")
         if name in ENDS_PARAGRAPH and self._open.get("p"):
             self.close("p", "button table")
@@ -133,6 +145,8 @@ class _Page:
             self._texts.append(" ")
         elif not rest.endswith("/"):
             self.push(name, rest)
+        if name in APART:
+            self._texts.append(" ")
 
     def end(self, name: str) -> None:
         if name in BLOCK or name == "head":
@@ -140,16 +154,38 @@ class _Page:
         self.close(name)
 
 
+def _ends(page: str) -> tuple[dict[int, int], bool]:
+    """Where the elements of APART end that have an end tag, by their start; and whether a head is ended."""
+    ends, opened, head_ends = {}, {n: [] for n in APART}, False
+    for m in _TAG.finditer(page):
+        name = (m["name"] or "").lower()
+        if name in APART:
+            if not m["end"]:
+                if name != "svg" or not m["rest"].endswith("/"):
+                    opened[name].append(m.start())
+            elif opened[name]:
+                ends[opened[name].pop()] = m.end()
+        elif name == ("head" if m["end"] else "body"):
+            head_ends = True
+    return ends, head_ends
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order."""
     page = page or ""
     state, at = _Page(), 0
+    ends, state.head_ends = _ends(page) if _ENDS.search(page) else ({}, True)
     for m in _TAG.finditer(page):
+        if m.start() < at:
+            continue  # inside an element without text
         if m.start() > at:
             state.text(page[at : m.start()])
         at = m.end()
         name = m["name"]
-        if name:
+        if m.start() in ends:
+            state._texts.append(" ")
+            at = ends[m.start()]
+        elif name:
             if m["end"]:
                 state.end(name.lower())
             else:
