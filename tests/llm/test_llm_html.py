@@ -125,3 +125,8 @@ def test_marked_pages_of_the_table(spark, field):
 )
 def test_no_text_is_lost_to_elements_without_an_end(page, want):
     assert texts(page) == want
+
+
+def test_all_words_of_an_attribute_count():
+    (b,) = html_blocks.blocks("<div class='col-md-4 d-none d-lg-block px-3 py-2 comments'>x</div>")
+    assert "is:comments" in b.around

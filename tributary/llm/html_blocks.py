@@ -55,7 +55,7 @@ def _marks(name: str, rest: str) -> tuple[str, ...]:
     """Features of an element for the blocks inside: its name, and the words of class, id and role."""
     out = [f"in:{name}"]
     for value in _NAMED.findall(rest):
-        out += [f"is:{w}" for w in _PART.findall(html.unescape(value).lower())[:8]]
+        out += [f"is:{w}" for w in _PART.findall(html.unescape(value).lower())]
     return tuple(dict.fromkeys(out))
 
 
