@@ -19,11 +19,14 @@ COLUMNS = {
     "op7": ("documents", "doc_id n_tokens ids_sha256 decoded_sha256"),
     "op8": ("pages", "page_id url text n_chars"),
     "op10": ("documents", "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"),
+    "op11": ("pages", "page_id host path rule verdict"),
+    "op12": ("documents", "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256"),
+    "op13": ("documents", "doc_id leaf subroot root proof_sha256 folded_root verified"),
 }
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in registered.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in registered.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(registered.QUERIES) | {"pipeline"} <= set(queries()) and set(registered.ORACLES) <= set(oracle_sql())
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, decontam, html_crf, lm_score, ngram_join, preference, quality, substring, token_files, warc
+from tributary.llm import align, bpe, decontam, html_crf, lm_score, merkle, ngram_join, preference, quality, substring, token_files, url_filter, warc
 
+PIECES = "piece_bpe_32k.model"
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -54,6 +55,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"), spark.createDataFrame(url_filter.ENTRIES, "rule string, verdict string"))
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES)
+    return align.Alignment(table(spark, sf_dir, "documents"), *paths).digests()
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -65,5 +79,12 @@ QUERIES = {
     "op8_html_main_text": op8_html_main_text,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_url_filter": op11_url_filter,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_merkle_manifest": op13_merkle_manifest,
+}
+ORACLES: dict[str, str] = {
+    "op3_preference_pairs": preference.ORACLE,
+    "op11_url_filter": url_filter.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
-ORACLES: dict[str, str] = {"op3_preference_pairs": preference.ORACLE}

@@ -17,9 +17,9 @@ class Steps:
         self._spark = spark
         self._paths: dict[str, str] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         schema, path = df.schema, scratch_path(self._spark, name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         self._paths[name] = path
         return self._spark.read.schema(schema).parquet(path)
 
