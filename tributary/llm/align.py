@@ -56,7 +56,10 @@ class ByteLevel:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            spec = json.load(f)
+        if spec["model"]["type"] != "BPE" or spec["normalizer"] or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
+            raise ValueError("a byte-level BPE file without normalizer and prefix space is needed")
+        model = spec["model"]
         letters = byte_letters()
         known = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if all(c in letters for c in t)}
         self.bytes_of = [b""] * (1 + max(model["vocab"].values()))
@@ -71,10 +74,10 @@ class ByteLevel:
         ranks = {t: i for t, i in known.items() if len(t) == 1} | {self.bytes_of[i]: i for i in merged}
         self._quick = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if merged == sorted(merged) and min(merged) > 255 else None
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self._quick and not any(map(_LONG_SPACE.search, texts)):
-            return [self._quick.encode_ordinary(t) for t in texts]
-        return [self._library.encode(t, add_special_tokens=False).ids for t in texts]
+            return [self._quick.encode_to_numpy(t) for t in texts]
+        return [np.array(self._library.encode(t, add_special_tokens=False).ids, dtype=np.uint32) for t in texts]
 
 
 class Pieces:
@@ -100,16 +103,18 @@ class Sides:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.length_a, self.length_b = (np.array([len(t) for t in side.bytes_of], dtype="<u4") for side in (self.a, self.b))
-        self.shown_a, self.shown_b = ([str(i) for i in range(len(side.bytes_of))] for side in (self.a, self.b))
+        # Decimal ids with what follows them: another token of the side, or the other side (a) or group (b).
+        self.shown_a, self.shown_b = (np.array([[f"{i}{mark}" for i in range(len(side.bytes_of))] for mark in marks], dtype=object) for side, marks in ((self.a, ",|"), (self.b, ",;")))
         self.bits = max(1, (len(self.b.bytes_of) - 1).bit_length())
 
-    def tokens(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides; none where either does not cover the space and the text."""
+    def tokens(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides; none where either does not cover the space and the text. The byte-level side
+        never changes a byte, so its length tells."""
         led = [" " + (t or "") for t in texts]
         for text, a, b in zip(led, self.a.encode(led), self.b.encode([t[1:] for t in led]), strict=True):
             raw = text.encode()
-            same = len(text) > 1 and b"".join([self.a.bytes_of[i] for i in a]) == raw and b"".join([self.b.bytes_of[i] for i in b]) == raw
-            yield (a, b) if same else ([], [])
+            same = len(text) > 1 and self.length_a[a].sum() == len(raw) and b"".join(map(self.b.bytes_of.__getitem__, b)) == raw
+            yield (a, np.array(b, dtype=np.uint32)) if same else (a[:0], a[:0])
 
 
 @lru_cache(maxsize=2)
@@ -120,28 +125,25 @@ def sides(path_a: str, path_b: str) -> Sides:
 
 # --- One text ---------------------------------------------------------------------------------------
 
-def stretches(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(from, to) of a, (from, to) of b, and whether these are one-to-one or one group, in order. Both arrays
+def groups_apart(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+    """The groups that are not one-to-one, in order: a row (from, to) of a, (from, to) of b for each. Both arrays
     of unsigned 32-bit ends ascend to the same last end."""
     raw_a, raw_b = ends_a.tobytes(), ends_b.tobytes()
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
-    i = j = 0
-    while i < len(list_a):
-        p, q, n = i * _ITEM, j * _ITEM, 0
+    size_a, size_b, out = len(raw_a), len(raw_b), []
+    p = q = 0  # places in the raw arrays
+    while p < size_a:
         probe = _ITEM
-        while p + n < len(raw_a) and raw_a[p + n : p + n + probe] == raw_b[q + n : q + n + probe]:
-            n, probe = n + probe, probe * 2
+        while p < size_a and raw_a[p : p + probe] == raw_b[q : q + probe]:
+            p, q, probe = p + probe, q + probe, probe * 2
         while probe > _ITEM:
             probe //= 2
-            if p + n + probe <= len(raw_a) and raw_a[p + n : p + n + probe] == raw_b[q + n : q + n + probe]:
-                n += probe
-        if n:
-            run = min(n // _ITEM, len(list_a) - i)
-            yield i, i + run, j, j + run, True
-            i, j = i + run, j + run
-            if i == len(list_a):
-                return
-        first_a, first_b = i, j
+            if p + probe <= size_a and q + probe <= size_b and raw_a[p : p + probe] == raw_b[q : q + probe]:
+                p, q = p + probe, q + probe
+        if p >= size_a:
+            break
+        i, j = p // _ITEM, q // _ITEM
+        out += (i, j)
         x, y = list_a[i], list_b[j]
         while x != y:
             if x < y:
@@ -150,68 +152,78 @@ def stretches(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[int, int
             else:
                 j += 1
                 y = list_b[j]
-        i, j = i + 1, j + 1
-        yield first_a, i, first_b, j, False
+        out += (i + 1, j + 1)
+        p, q = (i + 1) * _ITEM, (j + 1) * _ITEM
+    return np.array(out, dtype=np.int64).reshape(-1, 4)[:, [0, 2, 1, 3]]
+
+
+def group_numbers(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The group of each of n tokens, where the tokens first..end-1 form one group and all others one each."""
+    inside = np.zeros(n + 1, dtype=np.int64)
+    inside[first] += 1
+    inside[end] -= 1
+    starts = np.cumsum(inside[:n]) == 0
+    starts[first] = True
+    return np.cumsum(starts) - 1
 
 
 class Slice:
-    """Texts of a bounded number of bytes, aligned one by one; their links are made together."""
+    """Texts of a bounded number of bytes, aligned together: a text's last end is common to both sides, so no
+    group spans two texts. `rows` has a text's counts and digest, `pairs` its pairs and their links."""
 
     def __init__(self, both: Sides, texts: list[str | None]):
-        self._both, self.rows = both, []
-        ids_a, ids_b, size_a, size_b, owner = [], [], [], [], []
-        wide: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for number, (a, b) in enumerate(both.tokens(texts)):
-            shown, groups, links = [], 0, 0
-            if a:
-                ends = (np.cumsum(length[ids], dtype="<u4") for length, ids in ((both.length_a, a), (both.length_b, b)))
-                names_a, names_b = [both.shown_a[i] for i in a], [both.shown_b[i] for i in b]
-                for a0, a1, b0, b1, single in stretches(*ends):
-                    if single:
-                        n = a1 - a0
-                        shown += map("|".join, zip(names_a[a0:a1], names_b[b0:b1], strict=True))
-                        size_a += [1] * n
-                        size_b += [1] * n
-                        owner += [number] * n
-                        groups, links = groups + n, links + n
-                    else:
-                        m, n = a1 - a0, b1 - b0
-                        shown.append(",".join(names_a[a0:a1]) + "|" + ",".join(names_b[b0:b1]))
-                        groups, links = groups + 1, links + m * n
-                        if m * n > WIDE_GROUP:
-                            wide.append((number, np.array(a[a0:a1]), np.array(b[b0:b1])))
-                            continue
-                        size_a.append(m)
-                        size_b.append(n)
-                        owner.append(number)
-                    ids_a += a[a0:a1]
-                    ids_b += b[b0:b1]
-            digest = hashlib.sha256(";".join(shown).encode()).hexdigest() if a else ""
-            self.rows.append((len(a), len(b), groups, links, digest))
-        self.pairs = self._pairs(*(np.array(x, dtype=np.int64) for x in (ids_a, ids_b, size_a, size_b, owner)), wide)
-
-    def _pairs(self, a, b, m, n, owner, wide) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = list(both.tokens(texts))
+        self._bits = both.bits
+        count_a, count_b = (np.array([len(x[k]) for x in found]) for k in (0, 1))
+        ids_a, ids_b = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in (0, 1))
+        apart = groups_apart(np.cumsum(both.length_a[ids_a], dtype="<u4"), np.cumsum(both.length_b[ids_b], dtype="<u4"))
+        group_a, group_b = group_numbers(len(ids_a), apart[:, 0], apart[:, 1]), group_numbers(len(ids_b), apart[:, 2], apart[:, 3])
+        size_a, size_b = np.bincount(group_a), np.bincount(group_b)
+        text_a = np.repeat(np.arange(len(found)), count_a)
+        owner = text_a[np.cumsum(size_a) - size_a]  # of each group
+        n_groups = np.bincount(owner, minlength=len(found))
+        n_links = np.bincount(owner, weights=size_a * size_b, minlength=len(found)).astype(np.int64)
+        shown = self._shown(both, ids_a, ids_b, group_a, group_b, size_a, size_b)
+        ends = np.cumsum(count_a + count_b).tolist()
+        digests = [hashlib.sha256("".join(shown[x:y])[:-1].encode()).hexdigest() if y > x else "" for x, y in zip([0, *ends], ends, strict=False)]
+        self.rows = list(zip(count_a.tolist(), count_b.tolist(), n_groups.tolist(), n_links.tolist(), digests, strict=True))
+        self.pairs = self._pairs(ids_a, ids_b, group_a, group_b, size_a, size_b, owner)
+
+    @staticmethod
+    def _shown(both, ids_a, ids_b, group_a, group_b, size_a, size_b) -> list[str]:
+        """The decimal ids in the order of the groups, each group's a before its b, with their marks."""
+        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+        last_a, last_b = np.zeros(len(ids_a), dtype=np.int64), np.zeros(len(ids_b), dtype=np.int64)
+        last_a[ends_a - 1] = 1
+        last_b[ends_b - 1] = 1
+        out = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        out[np.arange(len(ids_a)) + (ends_b - size_b)[group_a]] = both.shown_a[last_a, ids_a]
+        out[np.arange(len(ids_b)) + ends_a[group_b]] = both.shown_b[last_b, ids_b]
+        return out.tolist()
+
+    def _pairs(self, a, b, group_a, group_b, m, n, owner) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its pairs, ascending, and how many links are of each."""
-        bits = self._both.bits
-        group = np.repeat(np.arange(len(m)), m)
-        times = n[group]
+        wide = np.flatnonzero(m * n > WIDE_GROUP)
+        first_a, first_b = np.cumsum(m) - m, np.cumsum(n) - n
+        times = n.copy()
+        times[wide] = 0
+        times = times[group_a]  # links of each token of a
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        other = b[np.repeat((np.cumsum(n) - n)[group], times) + within]
-        pair = np.repeat(a, times) << bits | other
-        text = np.repeat(owner[group], times)
-        links = np.ones(len(pair), dtype=np.int64)
-        if wide:
-            parts = [(text, pair, links)]
-            for number, own_a, own_b in wide:
-                (ua, ca), (ub, cb) = np.unique(own_a, return_counts=True), np.unique(own_b, return_counts=True)
-                parts.append((np.full(len(ua) * len(ub), number), (ua[:, None] << bits | ub).ravel(), (ca[:, None] * cb).ravel()))
-            text, pair, links = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((pair, text))
-        text, pair, links = text[order], pair[order], links[order]
-        new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])][: len(text)])
-        sums = np.add.reduceat(links, new) if len(new) else links
-        bounds = np.searchsorted(text[new], np.arange(len(self.rows) + 1))
-        return [(pair[new[x:y]], sums[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)]
+        parts = [(np.repeat(owner[group_a], times), np.repeat(a, times) << self._bits | b[np.repeat(first_b[group_a], times) + within], np.ones(len(within), dtype=np.int64))]
+        for g in wide.tolist():
+            (ua, ca), (ub, cb) = (np.unique(x[f : f + k], return_counts=True) for x, f, k in ((a, first_a[g], m[g]), (b, first_b[g], n[g])))
+            parts.append((np.full(len(ua) * len(ub), owner[g]), (ua[:, None] << self._bits | ub).ravel(), (ca[:, None] * cb).ravel()))
+        text, pair, links = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # A pair has 32 bits, the number of a text in its slice the ones above.
+        place = text << 32 | pair
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])
+        sums = np.add.reduceat(links[order], new) if len(new) else links
+        place = place[new]
+        bounds = np.searchsorted(place, np.arange(len(self.rows) + 1) << 32)
+        place &= (1 << 32) - 1
+        return [(place[x:y], sums[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)]
 
 
 def _slices(both: Sides, batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, Slice]]:
@@ -392,17 +404,19 @@ def group_spans(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
     kind = "array<struct<a_from:int,a_to:int,b_from:int,b_to:int>>"
     item = pa.list_(pa.struct([(n, pa.int32()) for n in ("a_from", "a_to", "b_from", "b_to")]))
 
-    def spans(a: list[int], b: list[int], both: Sides) -> Iterator[dict]:
-        for a0, a1, b0, b1, single in stretches(np.cumsum(both.length_a[a], dtype="<u4"), np.cumsum(both.length_b[b], dtype="<u4")):
-            for k in range(a1 - a0 if single else 1):
-                yield {"a_from": a0 + k, "a_to": a0 + k + 1, "b_from": b0 + k, "b_to": b0 + k + 1} if single else {"a_from": a0, "a_to": a1, "b_from": b0, "b_to": b1}
+    def spans(a: np.ndarray, b: np.ndarray, both: Sides) -> list[dict]:
+        apart = groups_apart(np.cumsum(both.length_a[a], dtype="<u4"), np.cumsum(both.length_b[b], dtype="<u4"))
+        sizes = [np.bincount(group_numbers(len(x), apart[:, k], apart[:, k + 1])) for x, k in ((a, 0), (b, 2))]
+        ends_a, ends_b = map(np.cumsum, sizes)
+        bounds = zip(ends_a - sizes[0], ends_a, ends_b - sizes[1], ends_b, strict=True)
+        return [dict(zip(("a_from", "a_to", "b_from", "b_to"), map(int, x), strict=True)) for x in bounds]
 
     def align(batches):
         both = sides(path_a, path_b)
         for batch in batches:
             for k in range(batch.num_rows):
                 ((a, b),) = both.tokens([batch.column(1)[k].as_py()])
-                found = list(spans(a, b, both)) if a else []
+                found = spans(a, b, both) if len(a) else []
                 yield pa.RecordBatch.from_arrays([batch.column(0)[k : k + 1], pa.array([found], item)], names=["key", "groups"])
 
     chosen = docs.select(docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
