@@ -29,7 +29,7 @@ BATCH = {
     "throughput": lambda t: usage.topic_throughput(t.metric_rows()),
     "groups": lambda t: usage.consumer_groups(t.metric_rows()),
     "history": lambda t: diff.diff_history(t.job_history(), t.source_health()),
-    "diff": lambda t: diff.diff_cycle(*registered._cycle_inputs(t, 1998)),
+    "diff": lambda t: diff.diff_cycle(*registered._cycle_inputs(t)),
     "prefixes": lambda t: usage.prefix_anti_join(t.metric_rows(), t.table("supplier").selectExpr("s_name AS prefix"), "client_id"),
     "dependencies": lambda t: graph.job_dependencies(events.event_datasets(registered._edges(t))),
 }

@@ -2,8 +2,10 @@
 
 import json
 
+import pytest
 from conftest import rows
 
+from tributary.plans import cycle as plan
 from tributary.sources import inventory, tables, wire
 
 
@@ -64,6 +66,60 @@ def test_topics(spark, tmp_path):
     assert rows(meta) == [("c", "a", 6, 3, True), ("c", "b", 0, 0, False)]
 
 
+BROKEN = ['[{"name": "s", "statement": "SELECT 1"}, {"na', '{"error_code": 401, "message": "no"}', "<html>", "null", "5", '[1, 2]', '[{"name": "s"}, null]', "[] trailing"]
+
+
+def test_broken_documents_are_counted_and_give_no_rows(spark, tmp_path):
+    good = '[{"name": "s", "statement": "SELECT 1"}]'
+    for env, docs in {"a": [good], "b": [good, "", "  ", BROKEN[0]], "c": ["[]"], "d": BROKEN}.items():
+        (tmp_path / "f" / f"env_id={env}").mkdir(parents=True)
+        (tmp_path / "f" / f"env_id={env}" / "x.json").write_text("\n".join(docs))
+    path = str(tmp_path / "f")
+    docs = inventory.parsed(spark, path, "flink")
+    assert rows(inventory.payload_health(docs, "flink")) == [
+        ("flink://a", "flink", True, 1, 0), ("flink://b", "flink", False, 2, 1), ("flink://c", "flink", True, 1, 0), ("flink://d", "flink", False, 8, 8)]
+    assert rows(inventory.read_flink_statements(spark, docs), "env_id") == rows(inventory.read_flink_statements(spark, path), "env_id") == [("a",), ("b",)]
+
+
+@pytest.mark.parametrize("source, context, namespace, whole, broken", [
+    ("connect", "env_id=e/connect_cluster=on-prem", "kafka-connect://on-prem", ['{}', '{"a": {}}', '{"a": {"info": {"type": 5}}}'], ['[]', '{"a": null}', '{"error_code": 5}', '{"a": {}']),
+    ("connect", "env_id=e", "kafka-connect://e", ['{"a": {}}'], [' \n']),
+    ("metrics", "cluster_id=c/metric=received_bytes", "kafka-producer://c", ['{}', '{"data": []}', '{"data": [{"value": 1}], "meta": {}}'], ['{"errors": []}', '{"data": {"x": 1}}', '{"data": [{"value": "x"}]}', '[]']),
+    ("metrics", "cluster_id=c/metric=consumer_lag_offsets", "kafka-consumer-group://c", ['{"data": []}'], ['{"data": [}']),
+    ("metrics", "cluster_id=c/metric=sent_bytes", None, ['{"data": []}'], ['no']),
+    ("ksql_queries", "ksql_cluster_id=k", "ksqldb://k", ['[{}]', '[{"queries": []}]'], ['{"queries": []}']),
+    ("ksql_sources", "ksql_cluster_id=k/kind=tables", "ksqldb://k", ['[{"sourceDescriptions": null}]'], ['["x"]']),
+    ("tableflow", "env_id=e", "tableflow://e", ['[]'], ['{}']),
+    ("metadata", "cluster_id=c", None, ['{"data": []}'], ['{"error": "x"}']),
+    ("subjects", "env_id=e", None, ['{"subject": "s"}'], ['{"subject": "s"']),
+    ("environments", "", None, ['{"environments": []}'], ['{"environments": 3}']),
+])
+def test_health_of_every_source(spark, tmp_path, source, context, namespace, whole, broken):
+    target = tmp_path / "f" / context
+    target.mkdir(parents=True)
+    for k, doc in enumerate(whole + broken):
+        (target / f"{k}.json").write_text(doc)
+    got = inventory.read_health(spark, {source: str(tmp_path / "f")}, whole_files=True)
+    assert rows(got) == [(namespace, source, False, len(whole) + len(broken), len(broken))]
+
+
+def test_a_landing_is_held_where_a_document_is_broken(spark, tmp_path, env_dim):
+    good = json.dumps([{"name": "s", "statement": "INSERT INTO `b` SELECT * FROM `a`", "status": "RUNNING"}])
+    state, docs = str(tmp_path / "state"), str(tmp_path / "docs")
+    stats = []
+    for cycle, texts in (("1", {"env-a": good, "env-b": good}), ("2", {"env-a": "[]", "env-b": "<html>"}), ("3", {"env-b": "[]"})):
+        root = tmp_path / f"landing-{cycle}"
+        for env, text in texts.items():
+            (root / "flink" / f"env_id={env}").mkdir(parents=True)
+            (root / "flink" / f"env_id={env}" / "x.json").write_text(text)
+        inv = plan.read_landing(spark, str(root), env_dim)
+        assert inv.connectors is None and inv.statements is not None
+        none = spark.createDataFrame([], "namespace string, ok boolean")
+        s = plan.run_cycle(inv, none, cycle=cycle, event_time=cycle, state_path=state, events_path=docs).first()
+        stats.append((s.events_emitted, s.events_removed, s.events_quarantined))
+    assert stats == [(2, 0, 0), (0, 1, 1), (0, 1, 0)]
+
+
 def test_environments_keep_list_order(spark, tmp_path):
     got = inventory.read_environments(spark, land(tmp_path, "e", {"environments": [
         {"env_id": "b", "cluster_id": "c", "kafka_bootstrap": "h"}, {"env_id": "a", "cluster_id": "d", "kafka_bootstrap": "h", "env_ord": 7}]}))

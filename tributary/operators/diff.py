@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,14 @@ BLOCK = 4096
 
 def failed_namespaces(health: DataFrame) -> DataFrame:
     """Namespaces with a failed source, from rows (namespace, ok)."""
-    return health.where(~F.coalesce("ok", F.lit(False))).select("namespace").distinct()
+    failed = health.where(~F.coalesce("ok", F.lit(False)) & F.col("namespace").isNotNull())
+    return failed.select("namespace").distinct()
+
+
+def combined_health(*parts: DataFrame) -> DataFrame:
+    """(namespace, ok): a namespace is healthy if all its rows are, whichever part they are in."""
+    rows = reduce(DataFrame.union, [p.select("namespace", "ok") for p in parts])
+    return rows.where("namespace IS NOT NULL").groupBy("namespace").agg(F.bool_and(F.coalesce("ok", F.lit(False))).alias("ok"))
 
 
 def expected_health(health: DataFrame, expected: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tributary.operators import (
 )
 from tributary.schemas import JOB_KEY
 from tributary.session import write_and_reload
-from tributary.sources import run_events, state as state_store
+from tributary.sources import inventory, run_events, state as state_store, tables
 
 
 @dataclass
@@ -29,6 +30,34 @@ class Inventory:
     tableflow_topics: DataFrame | None = None
     subjects: DataFrame | None = None
     topic_metadata: DataFrame | None = None
+    # What the landed documents themselves say about their sources (namespace, ok).
+    payload_health: DataFrame | None = None
+
+
+def read_landing(spark: SparkSession, root: str, env_dim: DataFrame | None = None, whole_files: bool = False) -> Inventory:
+    """The inventory of a landing folder: one folder for each source (`inventory.SOURCES`); those that are not there stay
+    None. Every source is parsed once, into a table that rows and health are read from."""
+    landed = {
+        source: write_and_reload(inventory.parsed(spark, f"{root}/{source}", source, whole_files), source)
+        for source in inventory.SOURCES if tables.exists(spark, f"{root}/{source}")
+    }
+
+    def rows(source: str, read) -> DataFrame | None:
+        return read(spark, landed[source]) if source in landed else None
+
+    health = [inventory.payload_health(docs, source) for source, docs in landed.items()]
+    return Inventory(
+        env_dim=rows("environments", inventory.read_environments) if env_dim is None else env_dim,
+        connectors=rows("connect", inventory.read_connect_inventory),
+        statements=rows("flink", inventory.read_flink_statements),
+        metrics=rows("metrics", inventory.read_metric_rows),
+        ksql_queries=rows("ksql_queries", inventory.read_ksql_queries),
+        ksql_sources=rows("ksql_sources", inventory.read_ksql_sources),
+        tableflow_topics=rows("tableflow", inventory.read_tableflow_topics),
+        subjects=rows("subjects", inventory.read_schema_subjects),
+        topic_metadata=rows("metadata", inventory.read_topic_metadata),
+        payload_health=reduce(DataFrame.union, health) if health else None,
+    )
 
 
 @dataclass
@@ -159,7 +188,8 @@ def run_cycle(
 ) -> DataFrame:
     """Run one cycle and return its one-row statistics.
 
-    `health` has (namespace, ok), and a known namespace without a row counts as failed; `force` defaults to true when no state exists yet;
+    `health` has (namespace, ok), and a known namespace without a row, or with a broken document in the landed
+    payloads, counts as failed; `force` defaults to true when no state exists yet;
     `undelivered` maps the emitted keys to those whose delivery failed (None: all arrived).
     State is published last, so a failed cycle leaves nothing behind and can be repeated.
     """
@@ -173,6 +203,8 @@ def run_cycle(
         force = state_store.published_cycle(spark, state_path, before=cycle) is None
     known = state_store.read_state(spark, state_path, before=cycle)
     expected = known.select(F.col("job_namespace").alias("namespace"))
+    if inv.payload_health is not None:
+        health = diff.combined_health(health, inv.payload_health)
     failed = diff.failed_namespaces(diff.expected_health(health, expected))
     changes = write_and_reload(diff.diff_cycle(jobs, known, failed, force), "changes")
     run_events.write_run_events(

@@ -228,6 +228,18 @@ BLOCKS |= {
         SELECT cycle, namespace, name, CASE WHEN fp IS NOT NULL THEN CASE WHEN fp = prev THEN 'SKIP' ELSE 'EMIT' END
           WHEN ok THEN 'ABORT' ELSE 'QUARANTINED' END AS action
         FROM carried WHERE fp IS NOT NULL OR (prev IS NOT NULL AND prev <> '')""",
+    "numbered_documents": r"""
+        SELECT 'connect' AS kind, 'kafka-connect://' || coalesce(connect_cluster, env_id) AS namespace, name AS label FROM connectors
+        UNION ALL SELECT 'flink', 'flink://' || env_id, name FROM flink_statements
+        UNION ALL SELECT 'metrics', CASE metric WHEN 'received_bytes' THEN 'kafka-producer://' || cluster_id
+          WHEN 'consumer_lag_offsets' THEN 'kafka-consumer-group://' || cluster_id ELSE 'none://' || cluster_id END, client_id FROM metric_rows
+        UNION ALL SELECT 'ksql_queries', 'ksqldb://' || ksql_cluster_id, query_id FROM ksql_queries_flat
+        UNION ALL SELECT 'ksql_sources', 'ksqldb://' || ksql_cluster_id, name FROM ksql_descriptions
+        UNION ALL SELECT 'tableflow', 'tableflow://' || env_id, topic_name FROM tableflow_topics""",
+    "landed_documents": r"""
+        SELECT kind, namespace, n, n % 13 = 5 AND right(namespace, 1) IN ('1', '3') AS broken
+        FROM (SELECT *, CAST(regexp_extract(label, '(\d+)$', 1) AS BIGINT) AS n FROM numbered_documents)
+        WHERE n % 11 <> 0 OR kind = 'ksql_sources'""",
     "now_jobs": "SELECT namespace, name, fp FROM history WHERE cycle = (SELECT max(cycle) FROM history)",
     "known_jobs": "SELECT namespace, name, arg_max(fp, cycle) AS fp FROM history WHERE cycle < (SELECT max(cycle) FROM history) GROUP BY namespace, name",
     "failed_now": "SELECT namespace FROM source_health WHERE cycle = (SELECT max(cycle) FROM history) AND NOT ok",
@@ -302,6 +314,15 @@ FINAL: dict[str, str] = {
           json_extract_string(config, '$."kafka.topic"') AS kafka_topic, json_extract_string(config, '$.topic') AS topic,
           json_extract_string(config, '$.topics') AS topics, json_extract_string(config, '$."kafka.topics"') AS kafka_topics
         FROM connectors""",
+    "S1_payload_health": """
+        SELECT CASE WHEN namespace NOT LIKE 'none://%' THEN namespace END AS namespace, kind AS source, bool_and(NOT broken) AS ok,
+          count(*) AS documents, count(*) FILTER (WHERE broken) AS bad_documents
+        FROM landed_documents GROUP BY CASE WHEN namespace NOT LIKE 'none://%' THEN namespace END, kind""",
+    "J7_broken_documents": r"""
+        SELECT job_namespace, job_name, job_type,
+          CASE WHEN n % 11 <> 0 AND NOT (n % 13 = 5 AND right(job_namespace, 1) IN ('1', '3')) THEN 'SKIP'
+            WHEN job_namespace IN (SELECT namespace FROM landed_documents WHERE broken) THEN 'QUARANTINED' ELSE 'ABORT' END AS action
+        FROM (SELECT *, CAST(regexp_extract(job_name, '(\d+)$', 1) AS BIGINT) AS n FROM jobs)""",
     "S2_read_flink_statements": "SELECT name, env_id, status, sql_text, '' AS compute_pool FROM flink_statements",
     "S3_read_metric_rows": f"""
         SELECT cluster_id, metric, strftime(ts, {SECONDS}) AS ts, topic, consumer_group_id, client_id, value FROM metric_rows""",

@@ -52,17 +52,20 @@ def _stamp(ts="ts"):
 
 # --- Sources and sinks --------------------------------------------------------------------------
 
-@query("S1_read_connect_inventory")
-def _(t: Landed) -> DataFrame:
+def _connect_documents(t: Landed) -> DataFrame:
     document = F.create_map("name", F.struct(
         F.struct(F.upper("type").alias("type"), "config").alias("info"),
         F.struct(F.struct(F.col("status").alias("state")).alias("connector")).alias("status"),
     ))
-    docs = t.connectors().select(
+    return t.connectors().select(
         "env_id", F.regexp_replace("env_id", "^env", "lkc").alias("cluster_id"), "connect_cluster",
-        F.to_json(document).alias("value"),
+        F.to_json(document).alias("value"), F.regexp_extract("name", r"(\d+)$", 1).cast("long").alias("n"),
     )
-    path = _land(docs, "connect", "env_id", "cluster_id", "connect_cluster")
+
+
+@query("S1_read_connect_inventory")
+def _(t: Landed) -> DataFrame:
+    path = _land(_connect_documents(t).drop("n"), "connect", "env_id", "cluster_id", "connect_cluster")
     rows = inventory.read_connect_inventory(t.spark, path)
     return rows.select(
         "id", "name", "status", "type", "env_id", "connect_cluster",
@@ -71,16 +74,18 @@ def _(t: Landed) -> DataFrame:
     )
 
 
-@query("S2_read_flink_statements")
-def _(t: Landed) -> DataFrame:
-    docs = t.flink_statements().select("env_id", F.to_json(F.array(F.struct(
+def _statement_documents(t: Landed) -> DataFrame:
+    return t.flink_statements().select("env_id", F.to_json(F.array(F.struct(
         "name", F.col("sql_text").alias("statement"), "status",
-    ))).alias("value"))
-    return inventory.read_flink_statements(t.spark, _land(docs, "flink", "env_id"))
+    ))).alias("value"), F.regexp_extract("name", r"(\d+)$", 1).cast("long").alias("n"))
 
 
-@query("S3_read_metric_rows")
+@query("S2_read_flink_statements")
 def _(t: Landed) -> DataFrame:
+    return inventory.read_flink_statements(t.spark, _land(_statement_documents(t).drop("n"), "flink", "env_id"))
+
+
+def _metric_documents(t: Landed) -> DataFrame:
     row = F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.col("topic").alias("metric.topic"),
@@ -88,8 +93,13 @@ def _(t: Landed) -> DataFrame:
         F.col("client_id").alias("metric.client_id"), "value",
     )
     page = F.struct(F.array(row).alias("data"), F.struct(F.lit(None).cast("string").alias("page_token")).alias("meta"))
-    docs = t.metric_rows().select("metric", "cluster_id", F.to_json(page).alias("value"))
-    rows = inventory.read_metric_rows(t.spark, _land(docs, "metrics", "metric", "cluster_id"))
+    number = F.regexp_extract("client_id", r"(\d+)$", 1).cast("long")
+    return t.metric_rows().select("metric", "cluster_id", F.to_json(page).alias("value"), number.alias("n"))
+
+
+@query("S3_read_metric_rows")
+def _(t: Landed) -> DataFrame:
+    rows = inventory.read_metric_rows(t.spark, _land(_metric_documents(t).drop("n"), "metrics", "metric", "cluster_id"))
     return rows.select("cluster_id", "metric", _stamp().alias("ts"), "topic", "consumer_group_id", "client_id", "value")
 
 
@@ -258,6 +268,61 @@ def _(t: Landed) -> DataFrame:
     return run_events.event_datasets_of(run_events.read_run_events(t.spark, path))
 
 
+# --- Broken documents ---------------------------------------------------------------------------
+
+def _landing(t: Landed) -> str:
+    """A landing folder of all sources. Documents whose number 11 divides have gone since the last cycle. In contexts
+    that end in 1 or 3, every thirteenth is broken: cut off, an error body, a page of HTML, or nothing."""
+    def listed(df: DataFrame, *context: str, name: str, fields) -> DataFrame:
+        return df.select(*context, F.to_json(F.array(F.struct(*fields))).alias("value"), F.regexp_extract(name, r"(\d+)$", 1).cast("long").alias("n"))
+
+    queries = listed(t.ksql_queries(), "ksql_cluster_id", name="query_id", fields=[F.array(F.struct(
+        F.struct(F.col("query_id").alias("queryId")).alias("id"), "state", F.col("sink_topics").alias("sinkKafkaTopics"), "sources")).alias("queries")])
+    sources = listed(t.view("ksql_descriptions"), "ksql_cluster_id", name="name", fields=[F.array(F.struct("name", "topic")).alias("sourceDescriptions")])
+    documents = {
+        "connect": (_connect_documents(t).drop("cluster_id"), F.coalesce("connect_cluster", "env_id")),
+        "flink": (_statement_documents(t), F.col("env_id")),
+        "metrics": (_metric_documents(t), F.col("cluster_id")),
+        "ksql_queries": (queries, F.col("ksql_cluster_id")),
+        "ksql_sources": (sources, F.col("ksql_cluster_id")),
+        "tableflow": (listed(t.tableflow_topics(), "env_id", name="topic_name", fields=["topic_name", "status"]), F.col("env_id")),
+    }
+    root = scratch_path(t.spark, "landing")
+    for source, (docs, context) in documents.items():
+        n = F.col("n")
+        broken = (n % 13 == 5) & F.substring(context, -1, 1).isin("1", "3")
+        wreck = (
+            F.when(n % 4 == 0, F.expr("substring(value, 1, length(value) - 3)")).when(n % 4 == 1, F.lit('{"error_code":401,"message":"no"}'))
+            .when(n % 4 == 2, F.lit("<html>503</html>")).otherwise(F.lit("null")))
+        # What the queries read from stays whole: a missing stream name would change documents of other jobs.
+        gone = F.lit(False) if source == "ksql_sources" else n % 11 == 0
+        landed = docs.where(~gone).withColumn("value", F.when(broken, wreck).otherwise(F.col("value"))).drop("n")
+        landed.write.partitionBy(*[c for c in landed.columns if c != "value"]).text(f"{root}/{source}")
+    return root
+
+
+@query("S1_payload_health")
+def _(t: Landed) -> DataFrame:
+    """Documents and broken documents of every namespace and source; also S2 to S6."""
+    root = _landing(t)
+    return inventory.read_health(t.spark, {s: f"{root}/{s}" for s in ("connect", "flink", "metrics", "ksql_queries", "ksql_sources", "tableflow")})
+
+
+@query("J7_broken_documents")
+def _(t: Landed) -> DataFrame:
+    """A cycle over a landing with broken documents, against the jobs of the whole inventory: jobs that cannot be
+    seen are held where a document of their namespace is broken, else removed."""
+    known = events.job_events(_event_datasets(t), CYCLE).select(*JOB_KEY, "fingerprint", F.lit(EVENT_TIME).alias("last_seen_at"))
+    inv = cycle_plan.read_landing(t.spark, _landing(t), t.env_dim())
+    # The names of streams are not what is looked at here.
+    inv.ksql_sources = t.ksql_sources()
+    seen = events.event_datasets(write_and_reload(cycle_plan.build_graph(inv).edges, "edges"), FALLBACK_BOOTSTRAP)
+    jobs = events.job_events(write_and_reload(seen, "datasets"), CYCLE)
+    known = write_and_reload(known, "known")
+    health = diff.expected_health(diff.combined_health(inv.payload_health), known.select(F.col("job_namespace").alias("namespace")))
+    return diff.diff_cycle(jobs, known, diff.failed_namespaces(health)).select(*JOB_KEY, "action")
+
+
 def _as_jobs(history: DataFrame) -> DataFrame:
     return history.select(
         F.col("namespace").alias("job_namespace"), F.col("name").alias("job_name"),
@@ -919,7 +984,7 @@ def _follow_diff(t: Landed, undelivered=None, stop_after: str | None = None) ->
     state, actions = scratch_path(t.spark, "state"), scratch_path(t.spark, "actions")
     step = stream_cycles.diff_step(
         t.spark, lambda c: _as_jobs(jobs.where(F.col("cycle") == int(c))),
-        lambda c: diff.failed_namespaces(ok.where(F.col("cycle") == int(c))),
+        lambda c: ok.where(F.col("cycle") == int(c)),
         state, actions, force=False, undelivered=undelivered,
     )
     checkpoint = scratch_path(t.spark, "checkpoint")

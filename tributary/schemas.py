@@ -19,9 +19,9 @@ CONNECTOR_DOCUMENT = (
     " status: struct<connector: struct<state: string>>>>"
 )
 
-METRIC_PAGE = (
-    "struct<data: array<struct<`timestamp`: string, `metric.topic`: string,"
-    " `metric.consumer_group_id`: string, `metric.client_id`: string, value: double>>>"
+METRIC_ROW = (
+    "`timestamp`: string, `metric.topic`: string, `metric.consumer_group_id`: string,"
+    " `metric.client_id`: string, value: double"
 )
 
 EDGE_SEQ = T.StructType([
