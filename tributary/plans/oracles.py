@@ -618,6 +618,19 @@ FINAL: dict[str, str] = {
     "T8_reload_dimension": """
         SELECT r.event_id, r.env_id, d.env_name, d.kafka_bootstrap
         FROM (SELECT event_id, 'env-' || substr(cluster_id, 5) AS env_id FROM metric_rows) r LEFT JOIN deployments d USING (env_id)""",
+    "T8_versions_as_of": """
+        SELECT r.event_id, r.env_id, d.env_name, d.kafka_bootstrap
+        FROM (SELECT event_id, 'env-' || substr(cluster_id, 5) AS env_id, epoch_us(ts) AS at FROM metric_rows) r
+        LEFT JOIN (
+          SELECT v.since, v.until, d.* FROM (
+            SELECT env_id, env_name, kafka_bootstrap, 0 AS version FROM deployments
+            UNION ALL SELECT env_id, env_name, kafka_bootstrap, 1 FROM new_deployments
+            UNION ALL SELECT env_id, env_name || '-v3', CASE WHEN env_ord % 2 = 0 THEN '' ELSE kafka_bootstrap END, 3 FROM deployments) d
+          JOIN (SELECT version, since, lead(since, 1, 9000000000000000) OVER (ORDER BY version) AS until FROM (
+            SELECT version, (lo + (hi - lo) * version // 4) * 1000000 AS since
+            FROM (SELECT epoch_us(min(ts)) // 1000000 AS lo, epoch_us(max(ts)) // 1000000 AS hi FROM metric_rows), (VALUES (0), (1), (3)) AS w(version))) v
+          USING (version)) d
+        ON r.env_id = d.env_id AND r.at >= d.since AND r.at < d.until""",
     "T9_at_least_once_emit": """
         SELECT cycle, namespace, name, CASE WHEN name LIKE '%7' AND action = 'SKIP' THEN 'EMIT' ELSE action END AS action FROM actions""",
     "X1_flatten_schemas": "SELECT env_id, subject, version, field, depth, pos, name, type, description FROM fields",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,10 @@ from tributary.session import scratch_path, write_and_reload
 from tributary.sources import inventory, run_events, state as state_store, tables, wire
 from tributary.sources.adaptors import Landed
 from tributary.streaming import cycles as stream_cycles
+from tributary.streaming import dimension as stream_dimension
 from tributary.streaming import orders as stream_orders
 from tributary.streaming import usage as stream_usage
+from tributary.streaming.dimension import VersionedDimension
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1085,6 +1088,40 @@ def _(t: Landed) -> DataFrame:
     return t.spark.read.parquet(out).select("event_id", "env_id", "env_name", "kafka_bootstrap")
 
 
+def _quarters(t: Landed) -> list[datetime]:
+    """The first second of the metric rows, and the ends of three quarters of their time."""
+    lo, hi = t.metric_rows().agg(F.floor(F.unix_micros(F.min("ts")) / 1_000_000), F.floor(F.unix_micros(F.max("ts")) / 1_000_000)).first()
+    return [datetime.fromtimestamp(lo + (hi - lo) * k // 4) for k in range(4)]
+
+
+@query("T8_versions_as_of")
+def _(t: Landed) -> DataFrame:
+    """Records arrive in four batches, a tenth of each quarter only with the last one. The dimension is read before each batch:
+    first all deployments, then a changed list, then an unreadable one, then another."""
+    columns = "env_id string, env_name string, kafka_bootstrap string"
+    names = columns.replace(" string", "").split(", ")
+    old, new = _two_env_lists(t)
+    third = old.withColumns({
+        "env_name": F.concat("env_name", F.lit("-v3")), "kafka_bootstrap": F.when(F.col("env_ord") % 2 == 0, "").otherwise(F.col("kafka_bootstrap"))})
+    readings = [lambda: old.select(names), lambda: new.select(names), lambda: t.spark.read.parquet(scratch_path(t.spark, "nowhere")),
+                lambda: third.select(names)]
+    starts = _quarters(t)
+    dimension = VersionedDimension(t.spark, scratch_path(t.spark, "dimension"), columns)
+    src, out, checkpoint = (scratch_path(t.spark, n) for n in ("records", "stamped", "checkpoint"))
+    quarter = F.lit(0)
+    for k, start in enumerate(starts):
+        quarter = F.when(F.col("ts") >= F.lit(start), k).otherwise(quarter)
+    records = t.metric_rows().select("event_id", F.expr("'env-' || substring(cluster_id, 5)").alias("env_id"), "ts")
+    arrives = F.when(F.col("event_id") % 10 == 0, 3).otherwise(quarter)
+    for k, start in enumerate(starts):
+        records.where(arrives == k).write.mode("append").parquet(src)
+        stream_dimension.stamp_stream(
+            t.spark.readStream.schema(records.schema).parquet(src), dimension, "env_id", "ts", ["env_name", "kafka_bootstrap"],
+            out, checkpoint, reload=lambda batch_id, k=k, start=start: dimension.load(readings[k], start),
+        ).awaitTermination()
+    return t.spark.read.parquet(out).select("event_id", "env_id", "env_name", "kafka_bootstrap")
+
+
 @query("T9_at_least_once_emit")
 def _(t: Landed) -> DataFrame:
     """Deliveries of jobs whose name ends in 7 always fail, so those jobs are sent every time."""
