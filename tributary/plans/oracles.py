@@ -589,6 +589,7 @@ FINAL: dict[str, str] = {
           count(*) FILTER (WHERE action = 'QUARANTINED') AS events_quarantined
         FROM real_actions GROUP BY cycle) c""",
     "T2_stateful_diff": _W3,
+    "T2_keyed_diff": "SELECT cycle, namespace, name, action FROM patchy_actions",
     "T3_sliding_throughput": f"""
         SELECT strftime(s, {SECONDS}) AS window_start, strftime(s + INTERVAL 10 MINUTE, {SECONDS}) AS window_end, cluster_id, topic, """
         + ", ".join(
@@ -677,6 +678,12 @@ BLOCKS |= {
         FROM real_carried WHERE fp IS NOT NULL OR (prev IS NOT NULL AND prev <> '')""",
 }
 
+# The same history where some health never came, which counts as failed.
+BLOCKS["patchy_health"] = "SELECT cycle, namespace, ok AND NOT (namespace = 'ns-2' AND cycle % 2 = 1) AS ok FROM source_health"
+for _block, _over in (("grid", "source_health"), ("observed", "grid"), ("carried", "observed"), ("actions", "carried")):
+    _name = "patchy_health" if _over == "source_health" else f"patchy_{_over}"
+    BLOCKS[f"patchy_{_block}"] = re.sub(rf"\b{_over}\b", _name, BLOCKS[_block])
+
 _TABLES = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"}
 
 

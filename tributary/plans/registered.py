@@ -22,6 +22,7 @@ from tributary.sources import inventory, run_events, state as state_store, table
 from tributary.sources.adaptors import Landed
 from tributary.streaming import cycles as stream_cycles
 from tributary.streaming import dimension as stream_dimension
+from tributary.streaming import keyed as stream_keyed
 from tributary.streaming import orders as stream_orders
 from tributary.streaming import usage as stream_usage
 from tributary.streaming.dimension import VersionedDimension
@@ -1036,6 +1037,32 @@ def _(t: Landed) -> DataFrame:
     return _actions(t, _follow_diff(t)[1])
 
 
+@query("T2_keyed_diff")
+def _(t: Landed) -> DataFrame:
+    """The history as a stream with its diff in keyed state: two queries one after the other on one checkpoint, some
+    health never sent. The mark of a year after the last one closes that."""
+    at = F.make_timestamp_ntz(F.col("cycle"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("timestamp")
+    history = t.job_history().select(F.col("cycle").cast("long").alias("cycle"), at.alias("at"), "namespace", "name", "fp")
+    told = t.source_health().select(F.col("cycle").cast("long").alias("cycle"), at.alias("at"), "namespace", "ok")
+    told = told.where("NOT (namespace = 'ns-2' AND cycle % 2 = 1)")
+    jobs, health, out, checkpoint = (scratch_path(t.spark, n) for n in ("jobs", "health", "actions", "checkpoint"))
+    for early in (True, False):
+        chosen = F.col("cycle") <= 1995 if early else F.col("cycle") > 1995
+        history.where(chosen).write.mode("append").parquet(jobs)
+        told.where(chosen).write.mode("append").parquet(health)
+        if not early:
+            after = told.agg((F.max("cycle") + 1).alias("cycle")).select("cycle", at.alias("at"), F.lit("").alias("namespace"), F.lit(True).alias("ok"))
+            after.write.mode("append").parquet(health)
+        with stream_keyed.keyed_state(t.spark):
+            actions = stream_keyed.follow_jobs(
+                t.spark.readStream.schema(history.schema).parquet(jobs), t.spark.readStream.schema(told.schema).parquet(health))
+            (
+                actions.writeStream.format("parquet").outputMode("append").option("path", out)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+            )
+    return t.spark.read.schema(stream_keyed.OUTPUT).parquet(out).withColumn("cycle", F.col("cycle").cast("int"))
+
+
 @query("T3_sliding_throughput")
 def _(t: Landed) -> DataFrame:
     rows = _run_to_files(stream_usage.sliding_throughput(_stream_metrics(t)), "sliding")
