@@ -240,6 +240,10 @@ BLOCKS |= {
         SELECT kind, namespace, n, n % 13 = 5 AND right(namespace, 1) IN ('1', '3') AS broken
         FROM (SELECT *, CAST(regexp_extract(label, '(\d+)$', 1) AS BIGINT) AS n FROM numbered_documents)
         WHERE n % 11 <> 0 OR kind = 'ksql_sources'""",
+    "arrivals": """
+        SELECT event_id, ts, cluster_id, metric, value, CASE WHEN event_id % 20 < 2 THEN 3
+          WHEN epoch_us(ts) >= (lo + (hi - lo) * 3 // 4) * 1000000 THEN 3 WHEN epoch_us(ts) >= (lo + (hi - lo) // 4) * 1000000 THEN 2 ELSE 1 END AS batch
+        FROM metric_rows, (SELECT epoch_us(min(ts)) // 1000000 AS lo, epoch_us(max(ts)) // 1000000 AS hi FROM metric_rows)""",
     "now_jobs": "SELECT namespace, name, fp FROM history WHERE cycle = (SELECT max(cycle) FROM history)",
     "known_jobs": "SELECT namespace, name, arg_max(fp, cycle) AS fp FROM history WHERE cycle < (SELECT max(cycle) FROM history) GROUP BY namespace, name",
     "failed_now": "SELECT namespace FROM source_health WHERE cycle = (SELECT max(cycle) FROM history) AND NOT ok",
@@ -605,6 +609,13 @@ FINAL: dict[str, str] = {
         WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE
           <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 3 MINUTE FROM metric_rows)
         GROUP BY date_trunc('minute', ts), cluster_id, metric""",
+    "T4_repaired_minutes": f"""
+        SELECT strftime(date_trunc('minute', ts), {SECONDS}) AS minute, cluster_id, metric, round(sum(value), 2) AS value,
+          CAST(count(*) FILTER (WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= seen - INTERVAL 3 MINUTE) AS BIGINT) AS late_rows
+        FROM arrivals JOIN (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+          FROM arrivals GROUP BY batch) s USING (batch)
+        WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 3 MINUTE FROM arrivals)
+        GROUP BY date_trunc('minute', ts), cluster_id, metric""",
     "T5_inactive_groups": """
         SELECT cluster_id, consumer_group_id, strftime(active_from, '%Y-%m-%d %H:%M:%S.%f') AS active_from,
           strftime(removed_at, '%Y-%m-%d %H:%M:%S.%f') AS removed_at, observations FROM spans

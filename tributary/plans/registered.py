@@ -23,6 +23,7 @@ from tributary.sources.adaptors import Landed
 from tributary.streaming import cycles as stream_cycles
 from tributary.streaming import dimension as stream_dimension
 from tributary.streaming import keyed as stream_keyed
+from tributary.streaming import late as stream_late
 from tributary.streaming import orders as stream_orders
 from tributary.streaming import usage as stream_usage
 from tributary.streaming.dimension import VersionedDimension
@@ -1075,6 +1076,22 @@ def _(t: Landed) -> DataFrame:
     return rows.select(_stamp("minute").alias("minute"), "cluster_id", "metric", F.round("value", 2).alias("value"))
 
 
+@query("T4_repaired_minutes")
+def _(t: Landed) -> DataFrame:
+    """Three files by time; a twentieth of the first and of the second comes with the third, most of it behind the watermark."""
+    _, one, _, three = _quarters(t)
+    rows = t.metric_rows().select("event_id", "ts", "cluster_id", "metric", "value")
+    third = F.when(F.col("ts") >= F.lit(three), 3).when(F.col("ts") >= F.lit(one), 2).otherwise(1)
+    arrives = F.when(F.col("event_id") % 20 < 2, 3).otherwise(third)
+    src, path, checkpoint = (scratch_path(t.spark, n) for n in ("metric-files", "repaired", "checkpoint"))
+    minutes = stream_late.RepairedMinutes(t.spark, path, ["cluster_id", "metric"], unit="day")
+    for k in (1, 2, 3):
+        rows.where(arrives == k).write.mode("append").parquet(src)
+        stream_late.follow_minutes(t.spark.readStream.schema(rows.schema).parquet(src), minutes, checkpoint).awaitTermination()
+    return minutes.minutes().select(
+        _stamp("minute").alias("minute"), "cluster_id", "metric", F.round("value", 2).alias("value"), "late_rows")
+
+
 @query("T5_inactive_groups")
 def _(t: Landed) -> DataFrame:
     with stream_usage.merged_sessions_early(t.spark):
