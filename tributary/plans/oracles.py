@@ -620,6 +620,9 @@ FINAL: dict[str, str] = {
         SELECT cluster_id, consumer_group_id, strftime(active_from, '%Y-%m-%d %H:%M:%S.%f') AS active_from,
           strftime(removed_at, '%Y-%m-%d %H:%M:%S.%f') AS removed_at, observations FROM spans
         WHERE removed_at <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 3 MINUTE FROM lag_rows)""",
+    "T5_silent_groups": """
+        SELECT cluster_id, consumer_group_id, strftime(active_from, '%Y-%m-%d %H:%M:%S.%f') AS active_from,
+          strftime(removed_at, '%Y-%m-%d %H:%M:%S.%f') AS removed_at, observations FROM spans""",
     "T5_group_spans_batch": """
         SELECT cluster_id, consumer_group_id, strftime(active_from, '%Y-%m-%d %H:%M:%S.%f') AS active_from,
           strftime(removed_at, '%Y-%m-%d %H:%M:%S.%f') AS removed_at FROM spans""",

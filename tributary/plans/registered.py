@@ -1099,6 +1099,23 @@ def _(t: Landed) -> DataFrame:
     return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("active_from", "removed_at")})
 
 
+@query("T5_silent_groups")
+def _(t: Landed) -> DataFrame:
+    """All spans: after the rows, a mark of the clock half an hour later, when every group has been silent long enough."""
+    clock, out, checkpoint = (scratch_path(t.spark, n) for n in ("clock", "sessions", "checkpoint"))
+    end = t.metric_rows().agg(F.max("ts").alias("ts"))
+    for ticks in (end, end.select((F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("ts"))):
+        ticks.write.mode("append").parquet(clock)
+        with stream_usage.merged_sessions_early(t.spark):
+            sessions = stream_usage.group_sessions(_stream_metrics(t), clock=t.spark.readStream.schema(end.schema).parquet(clock))
+            (
+                sessions.writeStream.format("parquet").outputMode("append").option("path", out)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+            )
+    rows = t.spark.read.schema(sessions.schema).parquet(out)
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("active_from", "removed_at")})
+
+
 @query("T5_group_spans_batch")
 def _(t: Landed) -> DataFrame:
     rows = stream_usage.group_spans(t.metric_rows())

@@ -99,9 +99,11 @@ def follow_jobs(jobs: DataFrame, health: DataFrame, lag: str = "0 seconds", buck
     both = jobs.select(cycle, "at", "namespace", "name", "fp", none.cast("boolean").alias("ok")).union(health.select(
         cycle, "at", "namespace", none.cast("string").alias("name"), none.cast("string").alias("fp"), F.coalesce("ok", F.lit(False)).alias("ok")))
     both = both.withWatermark("at", lag)
-    seen = both.where("name IS NOT NULL").select("cycle", "at", "namespace").dropDuplicates()
+    # Conditions on `at` too: others would be pushed below the watermark, which then saw one stream only.
+    job, told = (both.where(f"CASE WHEN at IS NULL THEN false ELSE name IS {kind} END") for kind in ("NOT NULL", "NULL"))
+    seen = job.select("cycle", "at", "namespace").dropDuplicates()
     seen = seen.select("*", none.cast("string").alias("name"), none.cast("string").alias("fp"), none.cast("boolean").alias("ok"))
-    rows = both.where("name IS NOT NULL").select("*", own).union(seen.select("*", numbers)).union(both.where("name IS NULL").select("*", numbers))
+    rows = job.select("*", own).union(seen.select("*", numbers)).union(told.select("*", numbers))
     rows = rows.select("namespace", "bucket", "cycle", "at", F.unix_millis("at").alias("at_ms"), "name", "fp", "ok")
     return rows.groupBy("namespace", "bucket").transformWithStateInPandas(
         statefulProcessor=CycleDiff(), outputStructType=OUTPUT, outputMode="append", timeMode="eventTime")
