@@ -7,6 +7,7 @@ import pytest
 from tributary.operators import diff, events, graph, statements, usage
 from tributary.plans import registered
 from tributary.sources.adaptors import Landed
+from tributary.streaming import usage as stream_usage
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data here")
@@ -63,3 +64,10 @@ def test_cycle_filter_prunes_partitions(spark, landed, tmp_path):
     landed.job_history().write.partitionBy("cycle").parquet(path)
     text = physical(spark.read.parquet(path).where("cycle = 1998"))
     assert "PartitionFilters: [isnotnull(cycle" in text
+
+
+def test_sliding_totals_copy_panes_not_rows(landed):
+    text = physical(stream_usage.sliding_throughput(landed.metric_rows()))
+    assert "Expand" not in text
+    # The copies are made of sums: below the generator there is a whole aggregate.
+    assert text.index("Generate") < text.rindex("Exchange hashpartitioning")
