@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +34,14 @@ class Inventory:
     payload_health: DataFrame | None = None
 
 
-def read_landing(spark: SparkSession, root: str, env_dim: DataFrame | None = None, whole_files: bool = False) -> Inventory:
-    """The inventory of a landing folder: one folder for each source (`inventory.SOURCES`); those that are not there stay
-    None. Every source is parsed once, into a table that rows and health are read from."""
+def read_landing(
+    spark: SparkSession, root: str, env_dim: DataFrame | None = None, whole_files: bool = False, missing: frozenset[str] = frozenset(),
+) -> Inventory:
+    """The inventory of a landing folder: one folder for each source (`inventory.SOURCES`); those that are not there, or
+    are `missing`, stay None. Every source is parsed once, into a table that rows and health are read from."""
     landed = {
         source: write_and_reload(inventory.parsed(spark, f"{root}/{source}", source, whole_files), source)
-        for source in inventory.SOURCES if tables.exists(spark, f"{root}/{source}")
+        for source in inventory.SOURCES if source not in missing and tables.exists(spark, f"{root}/{source}")
     }
 
     def rows(source: str, read) -> DataFrame | None:
@@ -69,7 +71,7 @@ class Options:
     table_region: str | None = None
     table_database: str | None = None
     lookback_minutes: int = DEFAULT_LOOKBACK_MINUTES
-    # End of the metric window (a time as text); None takes every landed metric row.
+    # End of the metric window (a time as text). None: in a cycle its event time, in a graph alone every landed row.
     as_of: str | None = None
     group_exclude_prefixes: tuple[str, ...] = ()
     producer_exclude_prefixes: tuple[str, ...] = ()
@@ -194,6 +196,8 @@ def run_cycle(
     State is published last, so a failed cycle leaves nothing behind and can be repeated.
     """
     opt = opt or Options()
+    if opt.as_of is None and inv.metrics is not None:
+        opt = replace(opt, as_of=event_time)
     spark: SparkSession = inv.env_dim.sparkSession
     graph = build_graph(inv, opt)
     graph.edges = write_and_reload(graph.edges, "edges")
@@ -215,3 +219,20 @@ def run_cycle(
     state_store.write_state(diff.next_state(changes, F.lit(event_time), lost), state_path, cycle)
     stats = diff.cycle_stats(changes, lost).withColumn("cycle", F.lit(cycle))
     return stats
+
+
+def landing_step(
+    spark: SparkSession, root: str, env_dim: DataFrame, health_of, *, state_path: str, events_path: str,
+    opt: Options | None = None, force: bool | None = None, on_stats=None,
+):
+    """A step for `streaming.cycles.follow_sources`: the cycle landed in `root/<cycle>`, without what is missing from it.
+    `health_of(cycle)` gives (namespace, ok) as the sources report it; `on_stats(cycle, stats)` takes the statistics."""
+    def step(cycle: str, event_time: str, missing: frozenset[str]) -> None:
+        inv = read_landing(spark, f"{root}/{cycle}", env_dim, missing=missing)
+        stats = run_cycle(
+            inv, inventory.without_sources(health_of(cycle), missing), cycle=cycle, event_time=event_time,
+            state_path=state_path, events_path=events_path, opt=opt, force=force)
+        if on_stats is not None:
+            on_stats(cycle, stats)
+
+    return step

@@ -592,6 +592,14 @@ FINAL: dict[str, str] = {
           count(*) FILTER (WHERE action = 'ABORT') AS events_removed,
           count(*) FILTER (WHERE action = 'QUARANTINED') AS events_quarantined
         FROM real_actions GROUP BY cycle) c""",
+    "T1_cycles_of_all_sources": """
+        SELECT CAST(c AS VARCHAR) AS cycle, count(*) FILTER (WHERE here) AS events_mapped, count(*) FILTER (WHERE here AND NOT known) AS events_emitted,
+          count(*) FILTER (WHERE here AND known) AS events_skipped, count(*) FILTER (WHERE known AND NOT here AND NOT held) AS events_removed,
+          count(*) FILTER (WHERE known AND NOT here AND held) AS events_quarantined
+        FROM (SELECT c, n % 5 <> c AND NOT held AS here, held,
+            c > 1 AND n % 5 <> CASE WHEN c = 4 AND starts_with(job_namespace, 'kafka-connect://') THEN 2 ELSE c - 1 END AS known
+          FROM (SELECT *, c = 3 AND starts_with(job_namespace, 'kafka-connect://') AS held FROM recent_jobs, (VALUES (1), (2), (3), (4)) AS w(c)))
+        GROUP BY c""",
     "T2_stateful_diff": _W3,
     "T2_keyed_diff": "SELECT cycle, namespace, name, action FROM patchy_actions",
     "T3_sliding_throughput": f"""
@@ -698,6 +706,15 @@ for _block, _over in (("grid", "source_health"), ("observed", "grid"), ("carried
     _name = "patchy_health" if _over == "source_health" else f"patchy_{_over}"
     BLOCKS[f"patchy_{_block}"] = re.sub(rf"\b{_over}\b", _name, BLOCKS[_block])
 
+# The jobs of all sources, those of metrics within a window before the last row's minute.
+BLOCKS["recent_rows"] = """SELECT * FROM metric_rows WHERE ts >= (SELECT date_trunc('minute', max(ts)) - INTERVAL 14400 MINUTE FROM metric_rows)
+    AND ts < (SELECT date_trunc('minute', max(ts)) FROM metric_rows)"""
+for _block, _over in (("groups", "metric_rows"), ("writers", "metric_rows"), ("producer_edges", "writers"), ("group_edges", "groups")):
+    BLOCKS[f"recent_{_block}"] = re.sub(rf"FROM {_over}\b", "FROM recent_" + ("rows" if _over == "metric_rows" else _over), BLOCKS[_block])
+BLOCKS["recent_drafts"] = re.sub(r"\b(producer|group)_edges\b", r"recent_\1_edges", BLOCKS["drafts"])
+BLOCKS["recent_jobs"] = (
+    r"SELECT DISTINCT job_namespace, job_name, CAST(regexp_extract(job_name, '(\d+)$', 1) AS BIGINT) AS n FROM recent_drafts")
+
 _TABLES = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"}
 
 

@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.fixed_values import TOPOLOGY_FACET
@@ -275,16 +275,15 @@ def _(t: Landed) -> DataFrame:
 
 # --- Broken documents ---------------------------------------------------------------------------
 
-def _landing(t: Landed) -> str:
-    """A landing folder of all sources. Documents whose number 11 divides have gone since the last cycle. In contexts
-    that end in 1 or 3, every thirteenth is broken: cut off, an error body, a page of HTML, or nothing."""
+def _numbered_documents(t: Landed) -> dict[str, tuple[DataFrame, Column]]:
+    """Documents (context columns, value, n) of each source, and the context that their namespace ends with."""
     def listed(df: DataFrame, *context: str, name: str, fields) -> DataFrame:
         return df.select(*context, F.to_json(F.array(F.struct(*fields))).alias("value"), F.regexp_extract(name, r"(\d+)$", 1).cast("long").alias("n"))
 
     queries = listed(t.ksql_queries(), "ksql_cluster_id", name="query_id", fields=[F.array(F.struct(
         F.struct(F.col("query_id").alias("queryId")).alias("id"), "state", F.col("sink_topics").alias("sinkKafkaTopics"), "sources")).alias("queries")])
     sources = listed(t.view("ksql_descriptions"), "ksql_cluster_id", name="name", fields=[F.array(F.struct("name", "topic")).alias("sourceDescriptions")])
-    documents = {
+    return {
         "connect": (_connect_documents(t).drop("cluster_id"), F.coalesce("connect_cluster", "env_id")),
         "flink": (_statement_documents(t), F.col("env_id")),
         "metrics": (_metric_documents(t), F.col("cluster_id")),
@@ -292,8 +291,18 @@ def _landing(t: Landed) -> str:
         "ksql_sources": (sources, F.col("ksql_cluster_id")),
         "tableflow": (listed(t.tableflow_topics(), "env_id", name="topic_name", fields=["topic_name", "status"]), F.col("env_id")),
     }
+
+
+def _land_documents(docs: DataFrame, path: str) -> None:
+    docs = docs.drop("n")
+    docs.write.partitionBy(*[c for c in docs.columns if c != "value"]).text(path)
+
+
+def _landing(t: Landed) -> str:
+    """A landing folder of all sources. Documents whose number 11 divides have gone since the last cycle. In contexts
+    that end in 1 or 3, every thirteenth is broken: cut off, an error body, a page of HTML, or nothing."""
     root = scratch_path(t.spark, "landing")
-    for source, (docs, context) in documents.items():
+    for source, (docs, context) in _numbered_documents(t).items():
         n = F.col("n")
         broken = (n % 13 == 5) & F.substring(context, -1, 1).isin("1", "3")
         wreck = (
@@ -301,8 +310,7 @@ def _landing(t: Landed) -> str:
             .when(n % 4 == 2, F.lit("<html>503</html>")).otherwise(F.lit("null")))
         # What the queries read from stays whole: a missing stream name would change documents of other jobs.
         gone = F.lit(False) if source == "ksql_sources" else n % 11 == 0
-        landed = docs.where(~gone).withColumn("value", F.when(broken, wreck).otherwise(F.col("value"))).drop("n")
-        landed.write.partitionBy(*[c for c in landed.columns if c != "value"]).text(f"{root}/{source}")
+        _land_documents(docs.where(~gone).withColumn("value", F.when(broken, wreck).otherwise(F.col("value"))), f"{root}/{source}")
     return root
 
 
@@ -1033,6 +1041,41 @@ def _(t: Landed) -> DataFrame:
     return t.spark.read.parquet(stats).drop("part")
 
 
+# Cycle -> sources whose mark comes with the marks of the next cycle, and sources that are never landed.
+_LATE, _NEVER = {"2": ["tableflow"]}, {"3": ["connect"]}
+_WINDOW_MINUTES = 14_400
+
+
+@query("T1_cycles_of_all_sources")
+def _(t: Landed) -> DataFrame:
+    """Four cycles of seven sources through the whole cycle plan. In each another fifth of the documents is not there. One
+    source is late in the second cycle, which waits for it; one never comes in the third, which runs without it when
+    the fourth is complete, and holds its jobs."""
+    documents = {s: docs for s, (docs, _) in _numbered_documents(t).items()}
+    item = F.struct(F.array(F.struct(F.col("topic").alias("topic_name"), F.col("partitions").alias("partitions_count"), "replication_factor", "is_internal")).alias("data"))
+    documents["metadata"] = t.topic_metadata().select(
+        "cluster_id", F.to_json(item).alias("value"), F.regexp_extract("topic", r"(\d+)$", 1).cast("long").alias("n"))
+    root, marks, state, docs, stats, checkpoint = (scratch_path(t.spark, n) for n in ("landings", "marks", "state", "run-events", "stats", "checkpoint"))
+    last = t.metric_rows().agg(F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")).first()[0]
+    namespaces = write_and_reload(_edges(t).select(F.col("job_namespace").alias("namespace"), F.lit(True).alias("ok")).distinct(), "namespaces")
+    step = cycle_plan.landing_step(
+        t.spark, root, t.env_dim(), lambda cycle: namespaces, state_path=state, events_path=docs,
+        opt=cycle_plan.Options(lookback_minutes=_WINDOW_MINUTES),
+        on_stats=lambda cycle, df: df.write.mode("overwrite").parquet(f"{stats}/part={cycle}"))
+    late: list[tuple] = []
+    for cycle in ("1", "2", "3", "4"):
+        announced, late = late, []
+        for source, rows in documents.items():
+            if source in _NEVER.get(cycle, ()):
+                continue
+            keep = F.lit(True) if source == "ksql_sources" else F.col("n") % 5 != int(cycle)
+            _land_documents(rows.where(keep), f"{root}/{cycle}/{source}")
+            (late if source in _LATE.get(cycle, ()) else announced).append((cycle, last, source))
+        t.spark.createDataFrame(announced, "cycle string, event_time string, source string").coalesce(1).write.mode("append").json(marks)
+        stream_cycles.follow_sources(t.spark, marks, checkpoint, state, list(documents), step, patience=1).awaitTermination()
+    return t.spark.read.parquet(stats).drop("part")
+
+
 @query("T2_stateful_diff")
 def _(t: Landed) -> DataFrame:
     return _actions(t, _follow_diff(t)[1])

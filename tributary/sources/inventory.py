@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 from tributary.fixed_values import DEFAULT_SCHEMA_TYPE, LAG_METRIC, RECEIVED_BYTES
-from tributary.functions.text import computed, first_non_empty, non_empty
+from tributary.functions.text import computed, first_non_empty, non_empty, starts_with_any
 
 CONTEXT = ("env_id", "cluster_id", "connect_cluster", "ksql_cluster_id", "kind", "page", "metric")
 _CORRUPT = "_corrupt_record"
@@ -40,6 +40,13 @@ class Source:
     namespace: str | None = None
 
 
+# What the namespaces of a source's jobs begin with.
+SCHEMES = {
+    "connect": ("kafka-connect://",), "flink": ("flink://",), "metrics": ("kafka-producer://", "kafka-consumer-group://"),
+    "ksql_queries": ("ksqldb://",), "ksql_sources": ("ksqldb://",), "tableflow": ("tableflow://",),
+}
+
+
 def _list(fields: str, namespace: str) -> Source:
     return Source(f"array<struct<{fields}>>", "[]", "forall(doc, x -> x IS NOT NULL)", namespace)
 
@@ -108,6 +115,12 @@ def payload_health(docs: DataFrame, source: str) -> DataFrame:
     ).select("namespace", F.lit(source).alias("source"), (F.col("bad_documents") == 0).alias("ok"), "documents", "bad_documents")
 
 
+def without_sources(health: DataFrame, missing: frozenset[str]) -> DataFrame:
+    """Health in which the namespaces of sources that were not landed have failed."""
+    schemes = [scheme for source in sorted(missing) for scheme in SCHEMES.get(source, ())]
+    return health.select("namespace", (F.col("ok") & ~starts_with_any(F.col("namespace"), schemes)).alias("ok"))
+
+
 def read_health(spark: SparkSession, paths: dict[str, str], whole_files: bool = False) -> DataFrame:
     """`payload_health` of several sources (name -> landing folder)."""
     return reduce(DataFrame.union, [payload_health(parsed(spark, p, s, whole_files), s) for s, p in paths.items()])
