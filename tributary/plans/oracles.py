@@ -583,6 +583,8 @@ FINAL: dict[str, str] = {
         LEFT JOIN any_throughput t ON o.dataset_type = 'kafka_topic' AND t.lookup = o.cluster_id AND t.topic = o.dataset_name""",
     "G1_lineage_adjacency": f"SELECT {_show('src')}, {_show('dst')}, kind FROM adjacency",
     "G2_reach": f"SELECT {_show('node')}, CAST(min(depth) AS INT) AS depth FROM walk GROUP BY node",
+    "G2_reach_by_seed": f"""
+        SELECT direction, {_show('seed')}, {_show('node')}, min(depth) AS depth FROM seed_walk GROUP BY direction, seed, node""",
     "G3_components": f"SELECT {_show('node')}, {_show('component')} FROM node_components",
     "G4_endpoints": f"SELECT {_show('node')}, role FROM roles",
     "T1_run_cycles": """
@@ -672,6 +674,12 @@ BLOCKS |= {
     "walk": """
         SELECT node, 0 AS depth FROM roles WHERE role = 'source'
         UNION SELECT a.dst, w.depth + 1 FROM walk w JOIN adjacency a ON a.src = w.node WHERE w.depth < 40""",
+    "both_steps": "SELECT 'downstream' AS direction, src AS here, dst AS there FROM adjacency UNION ALL SELECT 'upstream', dst, src FROM adjacency",
+    "seed_walk": """
+        SELECT DISTINCT d.direction, node AS seed, node, 0 AS depth FROM (SELECT src AS node FROM adjacency UNION SELECT dst FROM adjacency),
+          (VALUES ('downstream'), ('upstream')) AS d(direction) WHERE starts_with(node, 'job' || chr(31) || 'kafka-connect://')
+        UNION SELECT s.direction, w.seed, s.there, w.depth + 1 FROM seed_walk w JOIN both_steps s ON s.here = w.node AND s.direction = w.direction
+        WHERE w.depth < 3""",
     "links": """
         SELECT DISTINCT a.d AS a, b.d AS b FROM
           (SELECT job_namespace || chr(31) || job_name AS j, 'dataset' || chr(31) || dataset_namespace || chr(31) || dataset_name AS d

@@ -943,6 +943,18 @@ def _(t: Landed) -> DataFrame:
     return graph.reach(adj, seeds, "downstream").select(_readable("node"), "depth")
 
 
+@query("G2_reach_by_seed")
+def _(t: Landed) -> DataFrame:
+    """What every connector feeds and is fed by, to a depth of three steps."""
+    adj = write_and_reload(_adjacency(t), "adjacency")
+    ends = adj.select(F.explode(F.array("src", "dst")).alias("node"))
+    seeds = write_and_reload(ends.where(F.col("node").startswith("job\x1fkafka-connect://")).distinct(), "connectors")
+    parts = [
+        graph.reach_by_seed(adj, seeds, direction, depth=3).select(F.lit(direction).alias("direction"), _readable("seed"), _readable("node"), "depth")
+        for direction in ("downstream", "upstream")]
+    return parts[0].union(parts[1])
+
+
 @query("G3_components")
 def _(t: Landed) -> DataFrame:
     return graph.components(_adjacency(t)).select(_readable("node"), _readable("component"))
