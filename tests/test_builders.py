@@ -126,6 +126,10 @@ def test_prefix_anti_join_equals_startswith(spark):
     pre = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
     want = sorted(i for i, v in enumerate(ids) if v is None or not any(v.startswith(p) for p in prefixes))
     assert sorted(r.n for r in usage.prefix_anti_join(df, pre, "who").collect()) == want
+    assert usage.prefix_anti_join(df, pre.limit(0), "who").count() == len(ids)
+    # Ids are cut to the lengths of prefixes only.
+    cut = usage.id_cuts(df.where("who IS NOT NULL").select(F.col("who").alias("_id")), [2, 3, 4], 16)
+    assert cut.count() == sum(len(v) >= n for v in ids if v is not None for n in (2, 3, 4))
     everything = spark.createDataFrame([("",)], "prefix string")
     assert [r.n for r in usage.prefix_anti_join(df, everything, "who").collect()] == [6]
 

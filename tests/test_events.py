@@ -54,6 +54,17 @@ def test_first_non_empty_topology_and_one_bootstrap(spark):
     assert names == {"kafka://first:1", "kafka://fallback:9"}
 
 
+def test_jobs_without_namespace_and_names_of_two_types(spark):
+    df = edge_table(spark, [
+        edge("a", "o", job="lost", ns=None), edge("a", "o", job="two", jt="kafka_connect_source"), edge("b", "o", job="two", jt="kafka_connect_sink"), edge("a", "o")])
+    jobs = events.job_events(events.event_datasets(df), "c")
+    got = {(r.job_name, r.job_type): r for r in jobs.collect()}
+    assert len(got) == 4 and got["lost", "flink_statement"].n_inputs == 1 and got["lost", "flink_statement"].job_namespace is None
+    assert len({r.run_id for r in got.values()}) == 4
+    # A name with one type keeps the id it always had.
+    assert got["j", "flink_statement"].run_id == spark.range(1).select(identity.stable_run_id(F.lit("flink://e"), F.lit("j"), F.lit("c"))).first()[0]
+
+
 def test_synced_tables_keep_the_first_declared_namespace(spark):
     df = edge_table(spark, [
         edge("a", "tab", n=1, tt="iceberg_table", tns="glue://late"), edge("a", "tab", n=0, tt="iceberg_table", tns="glue://r"),

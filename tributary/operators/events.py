@@ -8,7 +8,10 @@ that would list very many datasets is written in parts that share one run id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.fixed_values import DATASET_TYPES, TABLE, TOPIC, TOPOLOGY_FACET
@@ -56,7 +59,9 @@ def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
     columns = [*JOB_KEY, "side", "dataset_type", "dataset_name", "declared_namespace"]
     found = dataset_endpoints(edges, types=(TOPIC,)).select(*columns).distinct().unionByName(
         first_seen_dataset(edges, types=(TABLE,)).select(*columns))
-    named = found.join(job_topology(edges, fallback_bootstrap), list(JOB_KEY))
+    # Jobs without a namespace (of no environment) are jobs too.
+    topology = job_topology(edges, fallback_bootstrap).withColumnsRenamed({c: f"_{c}" for c in JOB_KEY})
+    named = found.join(topology, reduce(and_, [found[c].eqNullSafe(F.col(f"_{c}")) for c in JOB_KEY]))
     namespace = (
         F.when(F.col("dataset_type") == TOPIC, topic_namespace(F.col("kafka_bootstrap")))
         .when(F.col("side") == "input", F.col("job_namespace"))
@@ -87,7 +92,8 @@ def _fingerprint(digest: str) -> Column:
 
 
 def job_events(datasets: DataFrame, cycle: str | Column = "default") -> DataFrame:
-    """One COMPLETE event per job: counts, topology, fingerprint and run id."""
+    """One COMPLETE event per job: counts, topology, fingerprint and run id. Where a name has jobs of several types, the
+    type is part of the run id, so no two jobs share one."""
     cycle = F.lit(cycle) if isinstance(cycle, str) else cycle
     hashed = datasets.select(
         *JOB_KEY, "kafka_bootstrap", *TOPOLOGY_COLUMNS, "side", _dataset_digest().alias("_digest"),
@@ -97,10 +103,13 @@ def job_events(datasets: DataFrame, cycle: str | Column = "default") -> DataFram
         F.count_if(F.col("side") == "output").alias("n_outputs"),
         _fingerprint("_digest").alias("fingerprint"),
     )
-    return grouped.withColumns({
-        "event_type": F.lit("COMPLETE"),
-        "run_id": stable_run_id(F.col("job_namespace"), F.col("job_name"), cycle),
-    })
+    # One row for each type of a name: the window holds as many rows as there are types.
+    types = F.count("*").over(Window.partitionBy("job_namespace", "job_name"))
+    named = grouped.withColumn("_types", types)
+    name = F.when(F.col("_types") > 1, F.concat_ws(":", "job_name", "job_type")).otherwise(F.col("job_name"))
+    return named.withColumns({
+        "event_type": F.lit("COMPLETE"), "run_id": stable_run_id(F.col("job_namespace"), name, cycle),
+    }).drop("_types")
 
 
 def topology_facet() -> Column:

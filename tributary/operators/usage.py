@@ -53,25 +53,31 @@ def external_producers(rows: DataFrame, extra_prefixes=()) -> DataFrame:
     )
 
 
+def id_cuts(ids: DataFrame, lengths: list[int], salts: int) -> DataFrame:
+    """Each `_id` cut to each of the lengths that it has, with a salt."""
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("_id"))
+    return ids.select(
+        "_id", F.pmod(F.hash("_id"), F.lit(salts)).alias("_salt"),
+        F.explode(F.transform(fits, lambda n: F.substring("_id", F.lit(1), n))).alias("prefix"),
+    )
+
+
 def prefix_anti_join(rows: DataFrame, prefixes: DataFrame, column: str, salts: int = 16) -> DataFrame:
     """Rows whose `column` starts with none of the values in `prefixes(prefix)`.
 
-    Works for prefix tables of any size without comparing every row with every prefix: the
-    distinct ids are cut into their own prefixes, those meet the table in an equi-join, and the
-    ids found are removed from the rows with an anti join. Short prefixes are shared by very many
-    ids, hence the salt on both sides.
+    Works for prefix tables of any size without comparing every row with every prefix: each distinct id is
+    cut to the lengths that occur among the prefixes (a handful, however many prefixes there are), the
+    cuts meet the table in an equi-join, and the ids found are removed from the rows with an anti join. Short
+    prefixes are shared by very many ids, hence the salt on both sides.
     """
+    known = prefixes.select("prefix").where("prefix IS NOT NULL").distinct()
+    # At most as many numbers as the longest prefix has characters.
+    lengths = sorted(r[0] for r in known.select(F.length("prefix")).distinct().collect())
+    if not lengths:
+        return rows
     ids = rows.select(F.col(column).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    cuts = ids.select(
-        "_id", F.pmod(F.hash("_id"), F.lit(salts)).alias("_salt"),
-        F.explode(F.transform(
-            F.sequence(F.lit(0), F.length("_id")), lambda n: F.substring("_id", F.lit(1), n),
-        )).alias("prefix"),
-    )
-    spread = prefixes.select("prefix").distinct().select(
-        "prefix", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    matched = cuts.join(spread, ["prefix", "_salt"], "left_semi")
+    spread = known.select("prefix", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    matched = id_cuts(ids, lengths, salts).join(spread, ["prefix", "_salt"], "left_semi")
     matched = matched.select(F.col("_id").alias(column)).distinct()
     return rows.join(matched, column, "left_anti")
 

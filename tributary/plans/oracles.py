@@ -658,6 +658,11 @@ FINAL: dict[str, str] = {
         ON r.env_id = d.env_id AND r.at >= d.since AND r.at < d.until""",
     "T9_at_least_once_emit": """
         SELECT cycle, namespace, name, CASE WHEN name LIKE '%7' AND action = 'SKIP' THEN 'EMIT' ELSE action END AS action FROM actions""",
+    "T9_delivery_ledger": """
+        SELECT cycle, namespace, name, action, CASE WHEN name NOT LIKE '%7' THEN cycle WHEN later IS NOT NULL THEN later END AS arrived_round,
+          CAST(CASE WHEN name LIKE '%7' AND later IS NOT NULL THEN 2 ELSE 1 END AS BIGINT) AS tries
+        FROM actions JOIN (SELECT cycle, lead(cycle) OVER (ORDER BY cycle) AS later FROM (SELECT DISTINCT cycle FROM actions WHERE action IN ('EMIT', 'ABORT'))) USING (cycle)
+        WHERE action IN ('EMIT', 'ABORT')""",
     "X1_flatten_schemas": "SELECT env_id, subject, version, field, depth, pos, name, type, description FROM fields",
     "X2_schema_drift": """
         SELECT 'part-' || partkey AS subject, field, old_type, new_type,

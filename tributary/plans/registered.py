@@ -20,6 +20,7 @@ from tributary.schemas import JOB_KEY, TOPOLOGY_COLUMNS
 from tributary.session import scratch_path, write_and_reload
 from tributary.sources import inventory, run_events, state as state_store, tables, wire
 from tributary.sources.adaptors import Landed
+from tributary.sources.ledger import Ledger
 from tributary.streaming import cycles as stream_cycles
 from tributary.streaming import dimension as stream_dimension
 from tributary.streaming import keyed as stream_keyed
@@ -1245,6 +1246,42 @@ def _(t: Landed) -> DataFrame:
     return _actions(t, _follow_diff(t, undelivered=lambda sent: sent.where(F.col("job_name").endswith("7")))[1])
 
 
+@query("T9_delivery_ledger")
+def _(t: Landed) -> DataFrame:
+    """Every document of the history and the round it arrived in. Each year is a round. Documents of jobs whose name ends in 7
+    do not arrive the first time; the round of 1995 dies when half of its documents are out, and is run again."""
+    actions = write_and_reload(diff.diff_history(t.job_history(), t.source_health()), "actions")
+    documents = actions.where(F.col("action").isin(diff.EMIT, diff.ABORT)).select(
+        F.col("cycle").cast("string").alias("cycle"), "namespace", "name", "action",
+        identity.stable_run_id(F.col("namespace"), F.col("name"), F.col("cycle").cast("string")).alias("run_id"), F.lit(0).alias("part"))
+    documents = write_and_reload(documents, "documents")
+    ledger = Ledger(t.spark, scratch_path(t.spark, "ledger"), "struct<namespace: string, name: string, action: string>")
+    years = [r.cycle for r in documents.select("cycle").distinct().orderBy("cycle").collect()]
+    sent = scratch_path(t.spark, "sent")
+
+    def deliver(due: DataFrame) -> DataFrame:
+        tried = due.withColumn("arrived", ~F.col("document.name").endswith("7") | (F.col("tries") > 0))
+        tried.where("arrived").select("cycle", "run_id").write.mode("append").parquet(sent)
+        return tried
+
+    def dies(due: DataFrame) -> DataFrame:
+        deliver(due.where(F.crc32("run_id") % 2 == 0))
+        raise ConnectionError("half-way")
+
+    for year in years:
+        own = documents.where(F.col("cycle") == year)
+        ledger.put(own.select("run_id", "part", F.struct("namespace", "name", "action").alias("document")), year)
+        if year == "1995":
+            try:
+                ledger.send(int(year), dies)
+            except ConnectionError:
+                pass
+        ledger.send(int(year), deliver)
+    shown = ledger.documents().select("cycle", "run_id", "document.*")
+    return shown.join(ledger.entries(), ["cycle", "run_id"]).select(
+        F.col("cycle").cast("int").alias("cycle"), "namespace", "name", "action", F.col("arrived_round").cast("int").alias("arrived_round"), "tries")
+
+
 # --- Schema registry ----------------------------------------------------------------------------
 
 @query("X1_flatten_schemas")
