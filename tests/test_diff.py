@@ -159,3 +159,21 @@ def test_reconcile_keeps_kinds_with_an_empty_listing(spark):
     actual = spark.createDataFrame([("topic", "a"), ("topic", "z"), ("statement", "other")], "kind string, key string")
     assert rows(diff.reconcile(state, actual)) == [("connector", "c"), ("topic", "a")]
     assert diff.reconcile(state, actual.limit(0)).count() == 4
+
+
+def test_pruned_versions_are_gone_and_their_cycles_stay_published(spark, tmp_path):
+    path = str(tmp_path / "state")
+    store.prune(spark, path)  # nothing there yet
+    for k in range(1, 7):
+        store.write_state(known(spark, [("n", f"j{k}", "1")]).coalesce(1), path, f"{k:02d}")
+        if k == 4:
+            store.prune(spark, path, keep=2)
+    store.prune(spark, path, keep=2)
+    store.prune(spark, path, keep=2)
+    assert rows(store.read_state(spark, path), "job_name") == [("j6",)] and rows(store.read_state(spark, path, before="06"), "job_name") == [("j5",)]
+    assert all(store.is_published(spark, path, f"{k:02d}") for k in range(1, 7)) and store.published_cycle(spark, path) == "06"
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["gathered", "published", "v=05", "v=06"]
+    assert len(list((tmp_path / "state" / "gathered").iterdir())) == 1
+    with pytest.raises(store.PrunedError):
+        store.read_state(spark, path, before="04")
+    assert store.read_state(spark, path, before="01").count() == 0

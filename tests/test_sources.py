@@ -141,3 +141,21 @@ def test_partitioned_write_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 61
     tables.write_partitioned(spark.createDataFrame([(1, "c")], "n int, status string"), path, "status")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_a_table_is_replaced_as_a_whole(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "tributary_swap_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.create_or_replace_table(spark.range(3), name, path)
+    old = spark.table(name)
+    tables.create_or_replace_table(spark.range(5), name, path)
+    assert spark.table(name).count() == 5 and len(tables.folders(spark, path)) == 2
+    with pytest.raises(Exception, match="USER_RAISED"):
+        tables.create_or_replace_table(spark.range(5).selectExpr("if(id = 3, raise_error('no'), id) AS id"), name, path)
+    assert spark.table(name).count() == 5
+    tables.create_or_replace_table(spark.range(2).selectExpr("id", "'x' AS more"), name, path)
+    assert spark.table(name).columns == ["id", "more"] and spark.table(name).count() == 2
+    tables.create_or_replace_table(spark.table(name).where("id = 0"), name, path)  # from itself
+    assert spark.table(name).count() == 1 and old.schema != spark.table(name).schema
+    assert len(tables.folders(spark, path)) == 2
+    spark.sql(f"DROP TABLE {name}")

@@ -76,6 +76,8 @@ class Options:
     group_exclude_prefixes: tuple[str, ...] = ()
     producer_exclude_prefixes: tuple[str, ...] = ()
     topic_merge: str = "by_cluster"
+    # Versions of the state that stay after a cycle; None keeps all.
+    keep_versions: int | None = None
 
 
 @dataclass
@@ -128,7 +130,8 @@ def build_graph(inv: Inventory, opt: Options | None = None) -> LineageGraph:
 
 
 def summary(graph: LineageGraph) -> DataFrame:
-    """The eleven counts of a graph; sources that were not landed count 0."""
+    """The eleven counts of a graph; sources that were not landed count 0. Hand in a graph whose edges are written: they are
+    read for the edges, the producers and the groups."""
     spark = graph.edges.sparkSession
 
     def none(ddl: str) -> DataFrame:
@@ -141,8 +144,6 @@ def summary(graph: LineageGraph) -> DataFrame:
     return rollups.graph_summary(
         connectors=rows(inv.connectors, "connect_cluster string"),
         statements=rows(inv.statements, "name string"),
-        producers=rows(graph.producers, "cluster_id string, client_id string"),
-        groups=rows(graph.groups, "cluster_id string, consumer_group_id string"),
         ksql_queries=rows(inv.ksql_queries, "query_id string"),
         tableflow_topics=rows(inv.tableflow_topics, "topic_name string"),
         edges=graph.edges,
@@ -155,6 +156,7 @@ def summary(graph: LineageGraph) -> DataFrame:
 def validate(inv: Inventory, opt: Options | None = None) -> tuple[DataFrame, DataFrame]:
     """Counts and edge listing of what is landed; nothing is emitted and no state is touched."""
     graph = build_graph(inv, opt)
+    graph.edges = write_and_reload(graph.edges, "edges")
     return summary(graph), edges.edge_listing(graph.edges)
 
 
@@ -217,6 +219,8 @@ def run_cycle(
     )
     lost = None if undelivered is None else undelivered(changes.where(F.col("action") == diff.EMIT))
     state_store.write_state(diff.next_state(changes, F.lit(event_time), lost), state_path, cycle)
+    if opt.keep_versions is not None:
+        state_store.prune(spark, state_path, opt.keep_versions)
     stats = diff.cycle_stats(changes, lost).withColumn("cycle", F.lit(cycle))
     return stats
 

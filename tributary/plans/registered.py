@@ -677,6 +677,7 @@ def _(t: Landed) -> DataFrame:
 @query("A7_graph_summary")
 def _(t: Landed) -> DataFrame:
     built = cycle_plan.build_graph(_inventory(t))
+    built.edges = write_and_reload(built.edges, "edges")
     built.topic_schemas = _topics_with_schema(t)
     return cycle_plan.summary(built)
 
