@@ -71,3 +71,10 @@ def test_sliding_totals_copy_panes_not_rows(landed):
     assert "Expand" not in text
     # The copies are made of sums: below the generator there is a whole aggregate.
     assert text.index("Generate") < text.rindex("Exchange hashpartitioning")
+
+
+def test_topology_of_jobs_sorts_no_edges(landed):
+    text = physical(events.job_topology(registered._edges(landed)))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+    # Edges are one row for each job and topology before they travel.
+    assert "partial_min" in text[text.index("Exchange hashpartitioning"):]

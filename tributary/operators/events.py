@@ -36,18 +36,32 @@ def first_seen_dataset(edges: DataFrame, types: tuple[str, ...] = DATASET_TYPES)
     )
 
 
-def _first_in_order(column: str) -> Column:
-    """First non-empty value in edge order."""
-    value = non_empty(column)
-    return F.min_by(value, F.when(value.isNotNull(), F.col("edge_seq")))
+def _packed_order() -> Column:
+    """The numbers of the edge order as one number: scope, environment, builder, and both positions in 31 bits each.
+    Unlike the order itself it has a fixed width, so its least value is found by hash aggregation."""
+    seq = F.col("edge_seq")
+    place = (seq["scope"].cast("bigint") * (1 << 32) + seq["env_ord"].cast("bigint") + (1 << 31)) * 16 + seq["builder"]
+    positions = seq["pos_in"].cast("bigint") * (1 << 31) + seq["pos_out"]
+    return place.cast("decimal(38,0)") * F.lit(1 << 62).cast("decimal(38,0)") + positions
 
 
 def job_topology(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
     """Per job: the first non-empty value of each topology field ('' if none) and the bootstrap
-    that names all its topics (the fallback if none)."""
-    fields = [F.coalesce(_first_in_order(c), F.lit("")).alias(c) for c in TOPOLOGY_COLUMNS]
-    bootstrap = F.coalesce(_first_in_order("kafka_bootstrap"), F.lit(fallback_bootstrap))
-    return edges.groupBy(*JOB_KEY).agg(*fields, bootstrap.alias("kafka_bootstrap"))
+    that names all its topics (the fallback if none). Edges of a job that differ in names only have one place in
+    the order; of their values the least one counts.
+
+    A job's edges lie in few environments, however many they are: they become one row for each topology, with
+    the place of its first edge, before the shuffle. So no edge is sorted, and the lists that fields are picked from
+    are as long as a job has topologies."""
+    fields = [*TOPOLOGY_COLUMNS, "kafka_bootstrap"]
+    places = edges.groupBy(*JOB_KEY, *fields).agg(F.min(_packed_order()).alias("place"))
+    lists = places.groupBy(*JOB_KEY).agg(F.collect_list(F.struct("place", *fields)).alias("found"))
+
+    def first(column: str, default: str) -> Column:
+        values = F.transform("found", lambda t: F.when(non_empty(t[column]).isNotNull(), F.struct(t["place"].alias("place"), t[column].alias("value"))))
+        return F.coalesce(F.array_min(F.filter(values, lambda v: v.isNotNull()))["value"], F.lit(default)).alias(column)
+
+    return lists.select(*JOB_KEY, *[first(c, "") for c in TOPOLOGY_COLUMNS], first("kafka_bootstrap", fallback_bootstrap))
 
 
 def event_datasets(edges: DataFrame, fallback_bootstrap: str = "") -> DataFrame:
