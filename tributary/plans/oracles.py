@@ -244,6 +244,10 @@ BLOCKS |= {
         SELECT event_id, ts, cluster_id, metric, value, CASE WHEN event_id % 20 < 2 THEN 3
           WHEN epoch_us(ts) >= (lo + (hi - lo) * 3 // 4) * 1000000 THEN 3 WHEN epoch_us(ts) >= (lo + (hi - lo) // 4) * 1000000 THEN 2 ELSE 1 END AS batch
         FROM metric_rows, (SELECT epoch_us(min(ts)) // 1000000 AS lo, epoch_us(max(ts)) // 1000000 AS hi FROM metric_rows)""",
+    "topic_heads": """
+        SELECT f.env_id, regexp_replace(f.subject, '-(key|value)$', '') AS topic,
+          string_agg(regexp_extract(f.subject, '(key|value)$', 1) || '.' || f.name || ':' || f.type, ',' ORDER BY f.subject, f.pos) AS fields
+        FROM fields f JOIN latest l USING (env_id, subject, version) WHERE f.depth = 1 GROUP BY f.env_id, f.subject""",
     "now_jobs": "SELECT namespace, name, fp FROM history WHERE cycle = (SELECT max(cycle) FROM history)",
     "known_jobs": "SELECT namespace, name, arg_max(fp, cycle) AS fp FROM history WHERE cycle < (SELECT max(cycle) FROM history) GROUP BY namespace, name",
     "failed_now": "SELECT namespace FROM source_health WHERE cycle = (SELECT max(cycle) FROM history) AND NOT ok",
@@ -581,6 +585,11 @@ FINAL: dict[str, str] = {
                    FROM event_datasets WHERE side = 'output') WHERE rn = 1) o USING ({JOB})
         LEFT JOIN any_metadata m ON i.dataset_type = 'kafka_topic' AND m.lookup = i.cluster_id AND m.topic = i.dataset_name
         LEFT JOIN any_throughput t ON o.dataset_type = 'kafka_topic' AND t.lookup = o.cluster_id AND t.topic = o.dataset_name""",
+    "F18_schema_facet": """
+        SELECT e.job_namespace, e.job_name, e.side, e.dataset_namespace, e.dataset_name, s.fields
+        FROM event_datasets e LEFT JOIN (
+          SELECT 'lkc-' || substr(env_id, 5) AS lookup, * FROM topic_heads UNION ALL SELECT '', * FROM topic_heads) s
+        ON e.dataset_type = 'kafka_topic' AND s.lookup = e.cluster_id AND s.topic = e.dataset_name""",
     "G1_lineage_adjacency": f"SELECT {_show('src')}, {_show('dst')}, kind FROM adjacency",
     "G2_reach": f"SELECT {_show('node')}, CAST(min(depth) AS INT) AS depth FROM walk GROUP BY node",
     "G2_reach_by_seed": f"""

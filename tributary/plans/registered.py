@@ -241,11 +241,11 @@ def _topic_fields(t: Landed) -> DataFrame:
     return registry.flatten_schemas(registry.latest_schema_version(t.schema_subjects()))
 
 
-def _documents(t: Landed) -> DataFrame:
+def _documents(t: Landed, schemas: DataFrame | None = None) -> DataFrame:
     datasets = write_and_reload(_event_datasets(t), "datasets")
     jobs = events.job_events(datasets, CYCLE)
     rows = topics.attach_topic_facets(
-        datasets, t.env_dim(), metadata=t.topic_metadata(),
+        datasets, t.env_dim(), schemas=schemas, metadata=t.topic_metadata(),
         throughput=usage.topic_throughput(t.metric_rows()),
     )
     rows = write_and_reload(rows, "faceted")
@@ -931,6 +931,22 @@ def _(t: Landed) -> DataFrame:
         F.get_json_object("doc", "$.outputs[0].facets.kafkaThroughput.bytesIn").cast("bigint").alias("bytes_in"))
 
 
+@query("F18_schema_facet")
+def _(t: Landed) -> DataFrame:
+    """Documents with the schema facet, written and read back: top-level fields of every dataset, as they stand in it."""
+    facets = registry.schema_facets(_topic_fields(t)).join(t.env_dim().select("env_id", "cluster_id"), "env_id")
+    path = scratch_path(t.spark, "run-events")
+    run_events.write_run_events(_documents(t, facets.select("cluster_id", "topic", "fields_json")), path)
+    entry = "array<struct<namespace: string, name: string, facets: struct<schema: struct<fields: array<struct<name: string, type: string>>>>>>"
+    doc = f"struct<job: struct<namespace: string, name: string>, inputs: {entry}, outputs: {entry}>"
+    docs = t.spark.read.text(path).select(F.from_json("value", doc).alias("d"))
+    sides = [docs.select("d.job.*", F.lit(side).alias("side"), F.explode(text.computed(F.col(f"d.{column}"))).alias("e")) for side, column in (("input", "inputs"), ("output", "outputs"))]
+    shown = F.array_join(F.transform("e.facets.schema.fields", lambda f: F.concat(f["name"], F.lit(":"), f["type"])), ",")
+    return sides[0].union(sides[1]).select(
+        F.col("namespace").alias("job_namespace"), F.col("name").alias("job_name"), "side",
+        F.col("e.namespace").alias("dataset_namespace"), F.col("e.name").alias("dataset_name"), shown.alias("fields"))
+
+
 # --- Graph --------------------------------------------------------------------------------------
 
 @query("G1_lineage_adjacency")
