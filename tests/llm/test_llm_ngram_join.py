@@ -86,7 +86,27 @@ def test_one_of_each_group_stays(spark):
     want = {i for i, _, c in expected(docs, 4, 85) if i is not None and i == c}
     rows = got.collect()
     assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(want)
-    assert sum(r.doc_id is None for r in rows) == 2
+    # "ONE two" has the set of a row with an id; the other row without one has a set of its own.
+    assert [r.text for r in rows if r.doc_id is None] == ["lone words here"]
+    assert [r.text for r in rows if r.doc_id == 8] == ([min(t for i, t, *_ in docs if i == 8)] if 8 in want else [])
+
+
+def test_rows_without_id(spark):
+    docs = [(1, "a b c d e"), (None, "A b c d e"), (None, "x y z w v"), (None, "X y z w v"), (None, "x y z w v"), (None, None), (None, " "), (None, " "), (2, "b"), (2, "a"), (2, "b")]
+    got = ngram_join.one_of_each(spark.createDataFrame([(i, t, "c", k, "g") for k, (i, t) in enumerate(docs)], KINDS), 4, 85).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(
+        [(1, "a b c d e"), (2, "a"), (None, "X y z w v"), (None, None), (None, " "), (None, " ")], key=str)
+
+
+def test_many_long_unlinked_sets_in_one_bucket(spark):
+    """Sketches of long sets rule no pair out: all pairs of a bucket are proposed, in batches of bounded size."""
+    rng = np.random.default_rng(5)
+    m, n = 600, 2000
+    sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for _ in range(m)]
+    buckets = spark.createDataFrame([(1, k, k + 1, k * 7, len(s), bytearray(ngram_join.sketch(s)), m, k) for k, s in enumerate(sets)],
+                                    "key long, grp long, gid long, d1 long, n long, sketch binary, members long, comp long")
+    seen = ngram_join._compare(buckets, 80, spanning=False)
+    assert seen.count() > 0.9 * m * (m - 1) / 2
 
 
 def test_empty_table(spark):

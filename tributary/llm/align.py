@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm.bpe import PATTERN, byte_letters
+from tributary.llm.memory import given_back
 from tributary.llm.steps import Steps
 
 SLICE_BYTES = 1 << 20
@@ -261,7 +262,7 @@ def _aligned(docs: DataFrame, path_a: str, path_b: str, key: str, text: str) ->
                 ], schema=schema)
 
     chosen = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
-    return chosen.mapInArrow(align, "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, links binary")
+    return chosen.mapInArrow(given_back(align), "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, links binary")
 
 
 def _parts(batches, column: int) -> Iterator[pa.RecordBatch]:
@@ -310,7 +311,7 @@ def _pair_counts(stored: DataFrame) -> DataFrame:
         if held:
             yield from out(*summed(pairs, docs))
 
-    return stored.select("pairs").mapInArrow(count, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
+    return stored.select("pairs").mapInArrow(given_back(count), "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
 
 
 def _head(counts: DataFrame) -> DataFrame:
@@ -385,9 +386,9 @@ class Alignment:
                     yield pa.RecordBatch.from_arrays([pa.array(rows[row[x]]), pa.array(pairs[x]), pa.array(links[x])], schema=rest)
 
         chosen = self.stored.select("row", "pairs", "links")
-        by_head = chosen.mapInArrow(added, "row long, n_best long, count_sum long")
+        by_head = chosen.mapInArrow(given_back(added), "row long, n_best long, count_sum long")
         # A pair outside the head is in few documents, so no key of this join is large.
-        rare = chosen.mapInArrow(others, "row long, pair long, links long").join(self.counts.where("not head"), "pair").groupBy("row").agg(
+        rare = chosen.mapInArrow(given_back(others), "row long, pair long, links long").join(self.counts.where("not head"), "pair").groupBy("row").agg(
             F.sum(F.col("links") * F.col("best").cast("long")).alias("n_best"), F.sum(F.col("links") * F.col("docs")).alias("count_sum"))
         return by_head.union(rare).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
@@ -420,4 +421,4 @@ def group_spans(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0)[k : k + 1], pa.array([found], item)], names=["key", "groups"])
 
     chosen = docs.select(docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
-    return chosen.mapInArrow(align, f"key long, groups {kind}").withColumnRenamed("key", key)
+    return chosen.mapInArrow(given_back(align), f"key long, groups {kind}").withColumnRenamed("key", key)

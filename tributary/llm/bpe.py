@@ -25,10 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.memory import given_back
+
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT_PIECE = 96
-CACHED_WORDS = 100_000
-CACHED_PIECES = 120_000
+CACHED_WORDS = 200_000
+CACHED_PIECES = 300_000
 OUTPUT_BYTES = 8 << 20
 
 _NONE = 1 << 60
@@ -135,7 +137,9 @@ class Vocabulary:
         packed = self._pieces.get(piece)
         if packed is None:
             packed = np.array(self.merged(piece), dtype="<u4").tobytes()
-            if len(self._pieces) < CACHED_PIECES and len(piece) <= SHORT_PIECE:
+            if len(piece) <= SHORT_PIECE:
+                if len(self._pieces) >= CACHED_PIECES:
+                    self._pieces.clear()
                 self._pieces[piece] = packed
         return packed
 
@@ -175,7 +179,8 @@ class Vocabulary:
 
 
 class _Words(dict):
-    """Packed ids by space-separated word, with or without its leading space."""
+    """Packed ids by space-separated word, with or without its leading space. A full one starts anew: frequent words
+    are back soon, rare ones are not kept for good."""
 
     def __init__(self, vocabulary: Vocabulary, lead: str):
         super().__init__()
@@ -184,7 +189,9 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         packed = self._vocabulary.word(self._lead, word)
-        if len(self) < self._most and len(word) <= SHORT_PIECE:
+        if len(word) <= SHORT_PIECE:
+            if len(self) >= self._most:
+                self.clear()
             self[word] = packed
         return packed
 
@@ -221,7 +228,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
         yield from bounded(rows, schema, lambda r: len(r[1]))
 
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(encode, "key long, ids binary").withColumnRenamed("key", key)
+    return chosen.mapInArrow(given_back(encode), "key long, ids binary").withColumnRenamed("key", key)
 
 
 def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -237,7 +244,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
         yield from bounded(rows, schema, lambda r: len(r[1] or b"") + len(r[2]))
 
     chosen = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    return chosen.mapInArrow(decode, "key long, ids binary, text string").withColumnsRenamed({"key": key, "ids": ids})
+    return chosen.mapInArrow(given_back(decode), "key long, ids binary, text string").withColumnsRenamed({"key": key, "ids": ids})
 
 
 def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.memory import given_back
 from tributary.llm.words import Chunk, chunks, join_hashes
 from tributary.session import write_and_reload
 
@@ -69,7 +70,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
 
     out = np.zeros(BUCKETS + 1, dtype=np.int64)
     text = docs.select(F.col("text").cast("string").alias("text"))
-    for r in text.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in text.mapInArrow(given_back(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r.bucket] = r.n
     return out
 
@@ -102,7 +103,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
             )
 
     chosen = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(cut, "item_id long, first int, words array<long>, item array<long>, answer_at int")
+    return chosen.mapInArrow(given_back(cut), "item_id long, first int, words array<long>, item array<long>, answer_at int")
 
 
 def _answer_words(text: str) -> int:
@@ -172,7 +173,7 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, steps: int =
                 arrays = [pa.array([piece], pa.int32()), pa.array([part.astype(np.int32).tobytes()], pa.binary()), pa.array([out[part].tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, schema=kinds)
 
-        moved = cut.select("words").mapInArrow(product, "piece int, buckets binary, rows binary")
+        moved = cut.select("words").mapInArrow(given_back(product), "piece int, buckets binary, rows binary")
         got = moved.groupBy("piece").applyInArrow(total, "piece int, buckets binary, rows binary").orderBy("piece").collect()
         if not got:
             return np.zeros((BUCKETS, rank), dtype=np.float32)
@@ -409,7 +410,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     arrays = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kind, strict=True)]
                     yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "item_share", "answer_share", "cosine"])
 
-        found = found.union(chosen.mapInArrow(search, kinds))
+        found = found.union(chosen.mapInArrow(given_back(search), kinds))
     best = F.max(F.struct("item_share", "answer_share", "cosine")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
@@ -425,5 +426,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 hit = {m[0] for m in matches(batch.column(1), shared.value)}
                 yield batch.filter(pa.array([k not in hit for k in range(batch.num_rows)], pa.bool_())) if hit else batch
 
-        held = held.mapInArrow(keep, kinds)
+        held = held.mapInArrow(given_back(keep), kinds)
     return held.select("row.*")

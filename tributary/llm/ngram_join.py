@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.components import components
+from tributary.llm.memory import given_back
 from tributary.llm.steps import Steps
 from tributary.llm.words import chunks, join_hashes, mix
 
@@ -37,12 +38,15 @@ PERCENT = 85
 SKETCH_BITS = 512
 BLOCK = 2048
 SMALL_BUCKET = 8
+# Rows of a bucket whose pairs are proposed at once: at most this times two blocks pairs are in memory.
+PAIR_ROWS = 64
 FREQUENT_KEPT = 20_000
 FREQUENT_CHUNK = 1 << 21
 FREQUENT_SHARE = 1 / 1024
 
 _U = np.uint64
 _FAR = np.iinfo(np.int32).max
+_NO_PAIRS = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -129,7 +133,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
         if held:
             yield found()
 
-    counted = _texts(docs).select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = _texts(docs).select("text").mapInArrow(given_back(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     rows = counted.orderBy(F.desc("n"), "gram").limit(FREQUENT_KEPT).collect()
     return np.array([r.gram for r in reversed(rows)], dtype=np.int64).view(_U)
 
@@ -160,7 +164,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 names=["doc_id", "n", "d1", "d2", "prefix", "sketch", "wide"],
             )
 
-    return _texts(docs).mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, prefix array<long>, sketch binary, wide binary")
+    return _texts(docs).mapInArrow(given_back(sign), "doc_id long, n long, d1 long, d2 long, prefix array<long>, sketch binary, wide binary")
 
 
 def classes_of(signed: DataFrame) -> DataFrame:
@@ -242,7 +246,7 @@ def _sharpened(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     one = wide.select(F.col("gid").alias("a"), F.col("d1").alias("ad"), F.col("n").alias("an"), F.col("wide").alias("aw"))
     two = wide.select(F.col("gid").alias("b"), F.col("d1").alias("bd"), F.col("n").alias("bn"), F.col("wide").alias("bw"))
     joined = pairs.join(one, ["a", "ad"], "left").join(two, ["b", "bd"], "left").select(*names, "an", "bn", "aw", "bw")
-    return joined.mapInArrow(keep, "a long, ad long, b long, bd long, bits int")
+    return joined.mapInArrow(given_back(keep), "a long, ad long, b long, bd long, bits int")
 
 
 def _compare(buckets: DataFrame, percent: int, spanning: bool) -> DataFrame:
@@ -251,7 +255,7 @@ def _compare(buckets: DataFrame, percent: int, spanning: bool) -> DataFrame:
     columns = ["key", "i", "j", "grp", "gid", "d1", "n", "own", "comp", "sketch"]
 
     def pairs(key, i, j, grp, gid, d1, n, own, comp, sketches):
-        """Index pairs and distances of one bucket or pair of blocks."""
+        """Index pairs and distances of one bucket or pair of blocks, some rows of it at a time."""
         d = _distances(sketches, n, percent)
         if i != j:
             d[own[:, None] == own[None, :]] = _FAR
@@ -259,10 +263,14 @@ def _compare(buckets: DataFrame, percent: int, spanning: bool) -> DataFrame:
             d[grp[:, None] == grp[None, :]] = _FAR
         d[comp[:, None] == comp[None, :]] = _FAR
         if spanning:
-            at = _forest(d)
-        else:
-            at = np.argwhere(np.triu(d < _FAR, 1)).tolist()
-        return [(x, y, int(d[x, y])) for x, y in at]
+            x, y = (np.array(v, dtype=np.int64) for v in zip(*_forest(d), strict=True)) if (d < _FAR).any() else _NO_PAIRS
+            yield x, y, d[x, y]
+            return
+        for first in range(0, len(d), PAIR_ROWS):
+            x, y = np.nonzero(d[first : first + PAIR_ROWS] < _FAR)
+            x += first
+            x, y = x[x < y], y[x < y]
+            yield x, y, d[x, y]
 
     def small(table, bounds):
         """All pairs of many small buckets at once, by the distance of their rows."""
@@ -314,14 +322,13 @@ def _compare(buckets: DataFrame, percent: int, spanning: bool) -> DataFrame:
                     yield batch_of(part, x, y, bits)
             for k in np.flatnonzero(sizes > SMALL_BUCKET).tolist():
                 part = {c: v[bounds[k] : bounds[k + 1]] for c, v in held.items()}
-                found = pairs(int(part["key"][0]), int(part["i"][0]), int(part["j"][0]), *(part[c] for c in columns[3:]))
-                if found:
-                    x, y, bits = (np.array(v) for v in zip(*found, strict=True))
-                    yield batch_of(part, x, y, bits)
+                for x, y, bits in pairs(int(part["key"][0]), int(part["i"][0]), int(part["j"][0]), *(part[c] for c in columns[3:])):
+                    if len(x):
+                        yield batch_of(part, x, y, bits)
             held = {c: v[end:] for c, v in held.items()}
 
     dealt = _blocks(buckets).select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = dealt.mapInArrow(propose, "a long, ad long, b long, bd long, bits int")
+    found = dealt.mapInArrow(given_back(propose), "a long, ad long, b long, bd long, bits int")
     return found.groupBy("a", "ad", "b", "bd").agg(F.min("bits").alias("bits"))
 
 
@@ -343,7 +350,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             )
 
     chosen = _texts(docs).join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
-    packed = chosen.mapInArrow(pack, "gid long, d1 long, grams binary")
+    packed = chosen.mapInArrow(given_back(pack), "gid long, d1 long, grams binary")
     return packed
 
 
@@ -365,7 +372,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = sets.select(F.col("gid").alias("a"), F.col("d1").alias("ad"), F.col("grams").alias("left"))
     second = sets.select(F.col("gid").alias("b"), F.col("d1").alias("bd"), F.col("grams").alias("right"))
     joined = pairs.select("a", "ad", "b", "bd").join(first, ["a", "ad"]).join(second, ["b", "bd"])
-    return joined.select("a", "b", "left", "right").mapInArrow(verify, "a long, b long")
+    return joined.select("a", "b", "left", "right").mapInArrow(given_back(verify), "a long, b long")
 
 
 def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -427,13 +434,42 @@ def component_table(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _set_keys(docs: DataFrame, words: int) -> DataFrame:
+    """text, n, d1, d2 of every distinct text."""
+
+    def digest(batches):
+        for batch in batches:
+            found = [(len(s), set_digest(s), second_digest(s)) for _, s in sets_of(batch.column(0), words)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((),) * 3))], names=["text", "n", "d1", "d2"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text")).distinct()
+    return texts.mapInArrow(given_back(digest), "text string, n long, d1 long, d2 long")
+
+
 def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The documents, all columns, without those that are linked to one with a smaller doc_id. Of rows
-    that share a doc_id one stays; rows without one stay unless their text is that of another row."""
+    that share a doc_id the least one stays (by all columns in order). Of rows without doc_id those go whose set is that of
+    a row with one; of equal sets among them the one with the least text stays, once. Without words, all stay."""
     found = component_table(docs, words, percent)
     name = "kept_id"
     while name in docs.columns:
         name += "_"
     stay = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     with_id = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col(name), "left_semi")
-    return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    repeated = with_id.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
+    single = with_id.join(repeated, F.col("doc_id") == F.col(name), "left_anti")
+    least = with_id.join(repeated, F.col("doc_id") == F.col(name), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(name))
+    kept = single.unionByName(least.select(f"{name}.*"))
+    without = docs.where("doc_id IS NULL")
+    if without.isEmpty():
+        return kept
+    own = _set_keys(without, words).where("n > 0")
+    known = _set_keys(docs.where("doc_id IS NOT NULL"), words).select("n", "d1", "d2")
+    first = own.join(known, ["n", "d1", "d2"], "left_anti").groupBy("n", "d1", "d2").agg(F.min("text").alias("text"))
+    # Texts with words that do not stay; the same text twice stays once.
+    gone = own.select("text").join(first.select("text"), "text", "left_anti").select(F.col("text").alias(name))
+    rest = without.join(gone, F.col("text") == F.col(name), "left_anti")
+    worded = rest.join(first.select(F.col("text").alias(name)), F.col("text") == F.col(name), "left_semi")
+    empty = rest.join(first.select(F.col("text").alias(name)), F.col("text") == F.col(name), "left_anti")
+    return kept.unionByName(worded.groupBy("text").agg(F.min(F.struct(*docs.columns)).alias(name)).select(f"{name}.*")).unionByName(empty)

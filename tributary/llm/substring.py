@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.memory import given_back
 from tributary.llm.steps import Steps
 from tributary.llm.words import Chunk, chunks, join_hashes, mix
 
@@ -105,7 +106,7 @@ def anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 positions = w.anchors()
                 yield _rows(w.halves[positions], *_places(chunk, positions, ids, tags), ("hash", "doc_id", "at"))
 
-    return _keyed(docs).where("doc_id IS NOT NULL").mapInArrow(find, _ROWS)
+    return _keyed(docs).where("doc_id IS NOT NULL").mapInArrow(given_back(find), _ROWS)
 
 
 def _per_document(rows: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def extended(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFram
                 yield _rows(w.full(starts), *_places(chunk, starts, ids, tags), ("hash", "doc_id", "at"))
 
     keyed = _keyed(docs).where("doc_id IS NOT NULL")
-    return _joined(keyed, _per_document(hits), "inner").select("doc_id", "tag", "text", "places").mapInArrow(extend, _ROWS)
+    return _joined(keyed, _per_document(hits), "inner").select("doc_id", "tag", "text", "places").mapInArrow(given_back(extend), _ROWS)
 
 
 def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -190,7 +191,7 @@ def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     rows = _joined(_keyed(docs), removed_windows(docs, length), "left").select("doc_id", "text", "places")
-    return rows.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return rows.mapInArrow(given_back(digest), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -213,7 +214,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag.alias("tag"), row.alias("row"), text.alias("text"))
     joined = _joined(keyed, removed_windows(docs, length), "left").select("row", "text", "places")
     kinds = f"row {joined.schema['row'].dataType.simpleString()}, text string, cut string"
-    done = joined.mapInArrow(cut, kinds).where("cut IS NULL OR cut <> ''")
+    done = joined.mapInArrow(given_back(cut), kinds).where("cut IS NULL OR cut <> ''")
     now = F.coalesce("cut", "text")
     columns = []
     for c in names:
