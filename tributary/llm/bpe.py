@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,8 +30,8 @@ from tributary.llm.memory import given_back
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT_PIECE = 96
-CACHED_WORDS = 200_000
-CACHED_PIECES = 300_000
+CACHED_WORDS = 300_000
+CACHED_PIECES = 50_000
 OUTPUT_BYTES = 8 << 20
 
 _NONE = 1 << 60
@@ -132,11 +133,15 @@ class Vocabulary:
         parts = self._short(piece) if len(piece) <= SHORT_PIECE else self._long(piece)
         return [self.ids[p] for p in parts]
 
-    def piece(self, piece: bytes) -> bytes:
+    def packed(self, piece: bytes) -> bytes:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
+        return struct.pack(f"<{len(ids)}I", *ids) if (ids := self.merged(piece)) else b""
+
+    def piece(self, piece: bytes) -> bytes:
+        """The same, kept for the next time."""
         packed = self._pieces.get(piece)
         if packed is None:
-            packed = np.array(self.merged(piece), dtype="<u4").tobytes()
+            packed = self.packed(piece)
             if len(piece) <= SHORT_PIECE:
                 if len(self._pieces) >= CACHED_PIECES:
                     self._pieces.clear()
@@ -146,14 +151,6 @@ class Vocabulary:
     def pieces(self, text: str) -> bytes:
         return b"".join([self.piece(p.encode()) for p in self._pattern.findall(text)])
 
-    def word(self, lead: str, word: str) -> bytes:
-        """Ids of a word without white space. Letters, and the marks after them, are pieces of their own."""
-        stem = word.rstrip(_MARKS)
-        if not stem.isalpha():
-            return self.pieces(lead + word)
-        marks = word[len(stem) :]
-        return self.piece((lead + stem).encode()) + (self.piece(marks.encode()) if marks else b"")
-
     def _plain(self, text: str) -> bytes:
         if _DOUBLE.search(text) or text[:1].isspace() or text[-1:].isspace():
             return self.pieces(text)
@@ -188,7 +185,14 @@ class _Words(dict):
         self._most = CACHED_WORDS if lead else CACHED_WORDS // 8
 
     def __missing__(self, word: str) -> bytes:
-        packed = self._vocabulary.word(self._lead, word)
+        stem = word.rstrip(_MARKS)
+        if not stem.isalpha():
+            packed = self._vocabulary.pieces(self._lead + word)
+        elif len(stem) < len(word):
+            # Letters, and the marks after them, are pieces of their own; the letters are a word to keep.
+            return self[stem] + self._vocabulary.piece(word[len(stem) :].encode())
+        else:
+            packed = self._vocabulary.packed((self._lead + word).encode())
         if len(word) <= SHORT_PIECE:
             if len(self) >= self._most:
                 self.clear()

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm.bpe import Vocabulary, byte_letters
-from tributary.llm.memory import given_back
 from tributary.llm.shared_files import input_stream, new_file, output
 from tributary.session import scratch_path
 
@@ -45,11 +44,11 @@ class LibraryVocabulary(Vocabulary):
 
     def __init__(self, path: str):
         self._model = Tokenizer.from_file(path).model
-        self._letters = [c for c, _ in sorted(byte_letters().items(), key=lambda x: x[1])]
+        self._letters = {b: c for c, b in byte_letters().items()}
         super().__init__(path)
 
     def merged(self, piece: bytes) -> list[int]:
-        return [t.id for t in self._model.tokenize("".join([self._letters[b] for b in piece]))]
+        return [t.id for t in self._model.tokenize(piece.decode("latin-1").translate(self._letters))]
 
 
 @lru_cache(maxsize=2)
@@ -205,7 +204,7 @@ def ordered_ids(docs: DataFrame, path: str, end_id: int, key: str, text: str) ->
 
     spark = docs.sparkSession
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    encoded = chosen.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(given_back(encode), "part int, row long, key long, ids binary")
+    encoded = chosen.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(encode, "part int, row long, key long, ids binary")
     place = scratch_path(spark, "ids")
     encoded.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(encoded.schema).parquet(place)
@@ -227,7 +226,7 @@ def id_counts(encoded: DataFrame, size: int, kind: str) -> np.ndarray:
 
     counts = np.zeros(size, dtype=np.int64)
     # At most one row per id of the vocabulary.
-    for r in encoded.select("ids").mapInArrow(given_back(count), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in encoded.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n
     return counts
 
@@ -270,7 +269,7 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, kind: str, folder: str)
             yield _arrays(schema, [tuple(x) for x in done])
 
     spark = encoded.sparkSession
-    files = encoded.select("part", "row", "key", "ids").mapInArrow(given_back(write), "path string, part int, row long, tokens long")
+    files = encoded.select("part", "row", "key", "ids").mapInArrow(write, "path string, part int, row long, tokens long")
     place = scratch_path(spark, "token-files")
     files.write.parquet(place)
     return spark.read.schema(files.schema).parquet(place)
@@ -312,7 +311,7 @@ def _read(files: DataFrame, of, kind: pa.DataType, column: str) -> DataFrame:
                             )
                         start += int(ends[-1]) if len(ends) else 0
 
-    return files.select("path", "start").mapInArrow(given_back(read), f"doc_id long, start long, n_tokens long, {column}")
+    return files.select("path", "start").mapInArrow(read, f"doc_id long, start long, n_tokens long, {column}")
 
 
 def write_token_files(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
