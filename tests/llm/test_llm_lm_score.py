@@ -66,3 +66,13 @@ def test_held_out_text_is_better_predicted(spark):
     got = lm_score.scores(spark.read.parquet(f"{SF}/documents.parquet").repartition(3)).where("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum()
     print("held out, log10 per token:", got.base_score.sum() / got.n_tokens.sum(), got.score.sum() / got.n_tokens.sum())
+
+
+@pytest.mark.parametrize("known", [1 << 18, 7, 0])
+def test_known_words_are_the_most_frequent_and_bounded(spark, monkeypatch, known):
+    monkeypatch.setattr(lm_score, "KNOWN", known)
+    counts = spark.createDataFrame([(k, 0, 1 + 1000 // (k + 1)) for k in range(300)], "word long, class int, n long")
+    first = counts.select("word", "n").orderBy("word").limit(2).collect()
+    got = {r.word for r in lm_score.known_words(counts, first)}
+    assert got >= {0, 1} and len(got) <= known + 2 and got == set(range(len(got)))
+    assert len(got) == 300 if known > 300 else len(got) >= min(known, 2)

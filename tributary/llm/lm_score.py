@@ -100,10 +100,25 @@ class Counts(NamedTuple):
     distinct: int
 
 
+def known_words(counts: DataFrame, units: list) -> list:
+    """Rows of the most frequent words, KNOWN at most, and of the units: whole classes of like counts from the top, so that
+    no other row leaves the executors. Words of the class that goes beyond KNOWN are joined like all rarer ones."""
+    like = F.floor(F.log2("n") * 16).cast("int")
+    cut, taken = None, 0
+    for kind, n in sorted(((r[0], r[1]) for r in counts.groupBy(like).count().collect()), reverse=True):
+        if taken + n > KNOWN:
+            break
+        cut, taken = kind, taken + n
+    rows = [] if cut is None else counts.where(like >= cut).select("word", "n").collect()
+    there = {r.word for r in rows}
+    return rows + [r for r in units if r.word not in there]
+
+
 def gathered(counts: DataFrame) -> Counts:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
-    head = {END: None} | {r.word: None for r in top[:UNITS]}
+    first = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(UNITS).collect()
+    top = known_words(counts, first)
+    head = {END: None} | {r.word: None for r in first}
     head = list(head)[:UNITS]
     words = np.array([r.word for r in top], dtype=np.int64)
     number = np.array([r.n for r in top], dtype=np.int64)
