@@ -70,6 +70,22 @@ def test_documents_keep_columns(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("hot", [1, 8, 1000])
+def test_hot_hashes_are_not_shuffled_and_none_is_lost(spark, hot):
+    rng = random.Random(hot)
+    rows = [(1, k, 0) for k in range(400)] + [(rng.randrange(2, 60), rng.randrange(30), k) for k in range(300)] + [(99, 5, 0), (99, 5, 1)]
+    table = spark.createDataFrame(rows, "hash long, doc_id long, at long")
+    shared = substring.shared_hashes(table)
+    ids = {}
+    for h, d, _ in rows:
+        ids.setdefault(h, set()).add(d)
+    counts = {h: sum(r[0] == h for r in rows) for h, s in ids.items() if len(s) > 1}
+    assert {tuple(r) for r in shared.collect()} == {(h, min(ids[h]), n) for h, n in counts.items()}
+    assert sum(n * hot >= sum(counts.values()) for n in counts.values()) <= hot
+    got = substring.repeated(table, shared, hot)
+    assert sorted(map(tuple, got.collect())) == sorted((d, a, min(ids[h])) for h, d, a in rows if h in counts)
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], KINDS)
     assert substring.removal_digests(none).collect() == [] and substring.deduplicated(none).collect() == []

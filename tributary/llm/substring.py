@@ -4,12 +4,13 @@ A window of `length` words can only repeat if the windows of half its length ins
 first level looks at half-length windows, and of those only at anchors: the ones with the least hash
 inside some full window. Equal full windows have equal anchors, so nothing is lost while most
 positions are never shuffled. Anchors that occur in one document alone end there; around the others
-windows are extended to twice the length (here: to `length`, two overlapping halves), and again only
-those that repeat survive. The loop ends at `length`, or as soon as no candidate survives.
+windows are extended to twice the length (to `length`, two overlapping halves), and again only those
+that repeat survive. That is one doubling: longer windows would remove no further word.
 
 A window is removed from a document if it also starts in a document with a smaller id. Windows are
-judged on the input. For each hash, the smallest id is found by a map-side aggregate, and the join back
-to the occurrences is a plain equi-join that Spark splits where one window holds many rows.
+judged on the input. For each hash, the smallest id is found by a map-side aggregate and written, if several
+documents hold it. The join back to the occurrences does not shuffle those of hot hashes: at most `HOT` hashes
+can each hold a `HOT`-th of the occurrences or more, so that these are broadcast; the others are joined by hash.
 
 Results: a null or empty text has no words; a null doc_id neither removes words nor loses any. Rows
 that share a doc_id do not remove each other's words; each is judged by its own text. Texts are
@@ -30,6 +31,7 @@ from tributary.llm.steps import Steps
 from tributary.llm.words import Chunk, chunks, join_hashes, mix
 
 LENGTH = 13
+HOT = 1000
 _ROWS = "hash long, doc_id long, at long"
 _U = np.uint64
 
@@ -120,10 +122,20 @@ def _joined(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     return docs.join(hits, same, how).drop("hit_id", "hit_tag")
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """The rows whose hash occurs in several documents, with the smallest id of each hash."""
-    shared = rows.groupBy("hash").agg(F.min("doc_id").alias("least_id"), F.max("doc_id").alias("last_id"))
-    return rows.join(shared.where("least_id < last_id").drop("last_id"), "hash")
+def shared_hashes(rows: DataFrame) -> DataFrame:
+    """hash, least_id, n of the hashes that occur in several documents: the smallest id, and how many rows."""
+    by_hash = rows.groupBy("hash").agg(F.min("doc_id").alias("least_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n"))
+    return by_hash.where("least_id < last_id").select("hash", "least_id", "n")
+
+
+def repeated(rows: DataFrame, shared: DataFrame, hot: int = HOT) -> DataFrame:
+    """doc_id, at, least_id of the rows whose hash is shared; `shared` is read twice, so it has to be written."""
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    # No more than `hot` hashes can have so many rows each.
+    often = F.col("n") * hot >= total
+    few = F.broadcast(shared.where(often).select("hash", "least_id"))
+    rest = rows.join(few.select("hash"), "hash", "left_anti").join(shared.where(~often).select("hash", "least_id"), "hash")
+    return rows.join(few, "hash").unionByName(rest).select("doc_id", "at", "least_id")
 
 
 def extended(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -153,12 +165,18 @@ def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError("a window has at least two words")
     steps = Steps(docs.sparkSession)
     found = steps.keep(anchors(docs, length), "anchors")
-    hits = steps.keep(repeated(found).select("doc_id", "at"), "hits")
-    steps.drop("anchors")
+    shared = steps.keep(shared_hashes(found), "shared")
+    steps.drop()
+    hits = steps.keep(repeated(found, shared).select("doc_id", "at"), "hits")
+    steps.drop("anchors", "shared")
     windows = steps.keep(extended(docs, hits, length), "windows")
     steps.drop("hits")
-    removed = steps.keep(_per_document(repeated(windows).where("doc_id > least_id")), "removed")
-    steps.drop("windows")
+    shared = steps.keep(shared_hashes(windows), "shared")
+    steps.drop()
+    late = steps.keep(repeated(windows, shared).where("doc_id > least_id").select("doc_id", "at"), "late")
+    steps.drop("windows", "shared")
+    removed = steps.keep(_per_document(late), "removed")
+    steps.drop("late")
     return removed
 
 
