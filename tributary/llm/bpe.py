@@ -18,7 +18,6 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.memory import given_back
+from tributary.llm.memory import given_back, kept
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT_PIECE = 96
@@ -200,7 +199,7 @@ class _Words(dict):
         return packed
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary, read once per worker."""
     return Vocabulary(path)
@@ -232,7 +231,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
         yield from bounded(rows, schema, lambda r: len(r[1]))
 
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(given_back(encode), "key long, ids binary").withColumnRenamed("key", key)
+    return chosen.mapInArrow(given_back(encode, "vocabulary"), "key long, ids binary").withColumnRenamed("key", key)
 
 
 def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -248,7 +247,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
         yield from bounded(rows, schema, lambda r: len(r[1] or b"") + len(r[2]))
 
     chosen = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    return chosen.mapInArrow(given_back(decode), "key long, ids binary, text string").withColumnsRenamed({"key": key, "ids": ids})
+    return chosen.mapInArrow(given_back(decode, "vocabulary"), "key long, ids binary, text string").withColumnsRenamed({"key": key, "ids": ids})
 
 
 def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:

@@ -19,7 +19,6 @@ document is never split over segments, so one segment is as large as the longest
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm.bpe import Vocabulary, byte_letters
+from tributary.llm.memory import given_back, kept
 from tributary.llm.shared_files import input_stream, new_file, output
 from tributary.session import scratch_path
 
@@ -51,7 +51,7 @@ class LibraryVocabulary(Vocabulary):
         return [t.id for t in self._model.tokenize(piece.decode("latin-1").translate(self._letters))]
 
 
-@lru_cache(maxsize=2)
+@kept(2)
 def library_vocabulary(path: str) -> LibraryVocabulary:
     return LibraryVocabulary(path)
 
@@ -204,7 +204,7 @@ def ordered_ids(docs: DataFrame, path: str, end_id: int, key: str, text: str) ->
 
     spark = docs.sparkSession
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    encoded = chosen.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(encode, "part int, row long, key long, ids binary")
+    encoded = chosen.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(given_back(encode, "library_vocabulary"), "part int, row long, key long, ids binary")
     place = scratch_path(spark, "ids")
     encoded.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(encoded.schema).parquet(place)
