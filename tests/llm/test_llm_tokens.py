@@ -104,3 +104,11 @@ def test_blocks_decode_alone(n):
         assert (token_files.unpack(payload, offsets, n, table, width) == ids).all()
         last = (n - 1) // token_files.BLOCK
         assert (token_files.unpack(payload, offsets[last:], n - last * token_files.BLOCK, table, width) == ids[last * token_files.BLOCK :]).all()
+
+
+def test_white_space_beside_white_space():
+    rng = random.Random(3)
+    marks = ["a", "b", " ", "\n", "\t", "\x0b", "\x1c", "\xa0", " ", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choices(marks, weights=[20, 20, 4, 2, 1, 1, 1, 1, 1, 1], k=rng.randrange(12)))
+        assert bpe._spaces_meet(text) == any(x.isspace() and y.isspace() for x, y in zip(text, text[1:], strict=False)), repr(text)

@@ -37,6 +37,8 @@ _NONE = 1 << 60
 # Where single spaces and line ends stand between other characters, every space leads a piece and every
 # line end is one; only neighbouring white space joins in other ways.
 _DOUBLE = re.compile(r"\s\s")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 # Marks that end a piece of letters before them (no apostrophe: it may begin a contraction).
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -49,6 +51,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(other)}
 
 
+def _spaces_meet(text: str) -> bool:
+    """Whether white space stands beside white space."""
+    if text.isascii() and not any(c in text for c in _OTHER_SPACES):
+        return any(p in text for p in _PAIRS)
+    return _DOUBLE.search(text) is not None
+
+
 class Vocabulary:
     """Ids, merges and special tokens of one tokenizer file, ready to encode and decode."""
 
@@ -85,6 +94,7 @@ class Vocabulary:
         self._pieces: dict[bytes, bytes] = {}
         self._led, self._bare = _Words(self, " "), _Words(self, "")
         self._break = self.piece(b"\n")
+        self.marks = {m: self.packed(m.encode()) for m in _MARKS}
 
     def _short(self, piece: bytes) -> list[bytes]:
         rank = self.ranks.get
@@ -151,7 +161,7 @@ class Vocabulary:
         return b"".join([self.piece(p.encode()) for p in self._pattern.findall(text)])
 
     def _plain(self, text: str) -> bytes:
-        if _DOUBLE.search(text) or text[:1].isspace() or text[-1:].isspace():
+        if _spaces_meet(text) or text[:1].isspace() or text[-1:].isspace():
             return self.pieces(text)
         lines = []
         for line in text.split("\n"):
@@ -184,6 +194,9 @@ class _Words(dict):
         self._most = CACHED_WORDS if lead else CACHED_WORDS // 8
 
     def __missing__(self, word: str) -> bytes:
+        mark = self._vocabulary.marks.get(word[-1:])
+        if mark is not None and word[:-1].isalpha():
+            return self[word[:-1]] + mark
         stem = word.rstrip(_MARKS)
         if not stem.isalpha():
             packed = self._vocabulary.pieces(self._lead + word)

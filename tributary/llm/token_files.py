@@ -18,6 +18,7 @@ document is never split over segments, so one segment is as large as the longest
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -43,12 +44,19 @@ class LibraryVocabulary(Vocabulary):
     """Words by the tokenizers library: its model encodes every piece that is not kept yet."""
 
     def __init__(self, path: str):
-        self._model = Tokenizer.from_file(path).model
+        library = Tokenizer.from_file(path)
+        self._model = library.model
         self._letters = {b: c for c, b in byte_letters().items()}
+        self._space = self._letters[0x20]
+        self._packed = [struct.pack("<I", i) for i in range(1 + max(library.get_vocab().values()))]
         super().__init__(path)
 
-    def merged(self, piece: bytes) -> list[int]:
-        return [t.id for t in self._model.tokenize(piece.decode("latin-1").translate(self._letters))]
+    def packed(self, piece: bytes) -> bytes:
+        letters = piece.decode("latin-1")
+        # ASCII letters stand for themselves, a leading space does not.
+        letters = letters.replace(" ", self._space) if piece.lstrip(b" ").isalpha() else letters.translate(self._letters)
+        packed = self._packed
+        return b"".join([packed[t.id] for t in self._model.tokenize(letters)])
 
 
 @kept(2)
