@@ -18,6 +18,7 @@ import json
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -77,10 +78,7 @@ class Vocabulary:
             return bytes(letters[c] for c in token)
 
         self.ids = {raw(t): i for t, i in model["vocab"].items()}
-        merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        # A rank belongs to the merged bytes: when it is the least one left, every earlier merge inside
-        # those bytes is done, so they are in exactly the two parts that the merge names.
-        self.ranks = {raw(a) + raw(b): k for k, (a, b) in enumerate(merges)}
+        self._merges = model["merges"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self._special = regex.compile(f"({found})") if found else None
@@ -96,6 +94,14 @@ class Vocabulary:
         self._break = self.piece(b"\n")
         self.marks = {m: self.packed(m.encode()) for m in _MARKS}
 
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        """Rank of the merged bytes of every merge. A rank belongs to the bytes: when it is the least one left, every
+        earlier merge inside them is done, so they are in exactly the two parts that the merge names."""
+        letters, merges, self._merges = byte_letters(), self._merges, None
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
+        return {bytes([letters[c] for c in a + b]): k for k, (a, b) in enumerate(pairs)}
+
     def _short(self, piece: bytes) -> list[bytes]:
         rank = self.ranks.get
         cut = list(range(len(piece) + 1))
@@ -146,6 +152,10 @@ class Vocabulary:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
         return struct.pack(f"<{len(ids)}I", *ids) if (ids := self.merged(piece)) else b""
 
+    def letters(self, lead: str, word: str) -> bytes:
+        """The same for a word of letters and what leads it."""
+        return self.packed((lead + word).encode())
+
     def piece(self, piece: bytes) -> bytes:
         """The same, kept for the next time."""
         packed = self._pieces.get(piece)
@@ -194,17 +204,16 @@ class _Words(dict):
         self._most = CACHED_WORDS if lead else CACHED_WORDS // 8
 
     def __missing__(self, word: str) -> bytes:
-        mark = self._vocabulary.marks.get(word[-1:])
-        if mark is not None and word[:-1].isalpha():
-            return self[word[:-1]] + mark
-        stem = word.rstrip(_MARKS)
-        if not stem.isalpha():
-            packed = self._vocabulary.pieces(self._lead + word)
-        elif len(stem) < len(word):
+        known = self._vocabulary
+        if word.isalpha():
+            packed = known.letters(self._lead, word)
+        elif (mark := known.marks.get(word[-1:])) is not None and word[:-1].isalpha():
             # Letters, and the marks after them, are pieces of their own; the letters are a word to keep.
-            return self[stem] + self._vocabulary.piece(word[len(stem) :].encode())
+            return self[word[:-1]] + mark
+        elif (stem := word.rstrip(_MARKS)).isalpha():
+            return self[stem] + known.piece(word[len(stem) :].encode())
         else:
-            packed = self._vocabulary.packed((self._lead + word).encode())
+            packed = known.pieces(self._lead + word)
         if len(word) <= SHORT_PIECE:
             if len(self) >= self._most:
                 self.clear()

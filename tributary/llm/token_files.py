@@ -51,13 +51,17 @@ class LibraryVocabulary(Vocabulary):
         self._packed = [struct.pack("<I", i) for i in range(1 + max(library.get_vocab().values()))]
         super().__init__(path)
 
-    def packed(self, piece: bytes) -> bytes:
-        letters = piece.decode("latin-1")
-        # ASCII letters stand for themselves, a leading space does not.
-        letters = letters.replace(" ", self._space) if piece.lstrip(b" ").isalpha() else letters.translate(self._letters)
+    def _tokens(self, letters: str) -> bytes:
         packed = self._packed
         return b"".join([packed[t.id] for t in self._model.tokenize(letters)])
 
+    def packed(self, piece: bytes) -> bytes:
+        return self._tokens(piece.decode("latin-1").translate(self._letters))
+
+    def letters(self, lead: str, word: str) -> bytes:
+        # ASCII letters stand for themselves, a leading space does not.
+        return self._tokens(self._space + word if lead else word) if word.isascii() else super().letters(lead, word)
+
 
 @kept(2)
 def library_vocabulary(path: str) -> LibraryVocabulary:
