@@ -43,6 +43,14 @@ def test_base_scores(spark, monkeypatch, known, units):
     assert all(r.score < 0 for r in got)
 
 
+def test_a_word_in_capitals_is_the_same_word(spark):
+    forms = ["some WORD", "some word", "SOME Word", "somE worD", "Some wORd"]
+    docs = [(i, forms[i % 5] + f" W{i % 3}X w{i % 4}x") for i in range(40)]
+    got = lm_score.scores(spark.createDataFrame([(i, t, "w", 1, "t") for i, t in docs], KINDS).repartition(5)).collect()
+    for g, w in zip(sorted(got, key=lambda r: r.doc_id), base(docs), strict=True):
+        assert g[:5] == w[:5] and math.isclose(g.base_score, w[5], rel_tol=1e-9), (g, w)
+
+
 def test_empty_table(spark):
     assert lm_score.scores(spark.createDataFrame([], KINDS)).collect() == []
 

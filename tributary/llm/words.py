@@ -33,7 +33,7 @@ _powers: dict[int, np.ndarray] = {}
 
 class Chunk(NamedTuple):
     """Words of the rows first..first+len(offsets)-2 of a batch; offsets bounds each row's words.
-    endings holds the last two bytes of each word, the last one in the low bits."""
+    endings holds the last two bytes of each word (A-Z as a-z if the words are), the last one in the low bits."""
 
     first: int
     words: np.ndarray
@@ -77,9 +77,10 @@ def _hash_slice(data: np.ndarray, breaks: np.ndarray, lower: bool, plain: bool =
     values = np.frombuffer(raw.translate(_LOWER if lower else _SAME), dtype=np.uint8)
     np.cumsum(values * _table(_BASE, n), out=sums[1:])
     h = (sums[ends] - sums[starts]) * _table(_INVERSE, n)[starts]
-    endings = data[ends - 1].astype(np.uint16)
+    # Like the hashes from the mapped bytes: equal words have one ending, however they are written.
+    endings = values[ends - 1].astype(np.uint16) - np.uint16(1)
     long = ends - starts > 1
-    endings[long] |= data[ends[long] - 2].astype(np.uint16) << np.uint16(8)
+    endings[long] |= (values[ends[long] - 2].astype(np.uint16) - np.uint16(1)) << np.uint16(8)
     return starts, mix(h + (ends - starts).astype(_U)), endings
 
 
