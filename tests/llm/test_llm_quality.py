@@ -130,3 +130,21 @@ def test_few_trusted_documents_leave_the_fixed_threshold(spark):
     frames = spark.createDataFrame(docs, KINDS), spark.createDataFrame(labels, LABELS)
     tables = [quality._table([0.5] * quality.BUCKETS)] * quality.FOLDS
     assert quality.held_out_threshold(*frames, tables) == quality.THRESHOLD
+
+
+def test_all_trusted_documents_count_beyond_those_whose_ids_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRUSTED", 5)
+    docs = documents()
+    got = quality.quality_table(spark.createDataFrame(docs, KINDS).repartition(4), spark.createDataFrame(LABELLED, LABELS))
+    same([tuple(r) for r in got.select(*COLUMNS).collect()], list(model(docs, LABELLED)))
+    many = spark.range(100_003).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted_ids(many).count() == 100_003
+
+
+def test_threshold_is_the_quantile_of_all_scores(spark):
+    docs = [(i, " ".join(f"v{i}" if k == 0 else f"w{i * k % 50}" for k in range(30)), "x", 1, None) for i in range(150)]
+    frames = spark.createDataFrame(docs, KINDS).repartition(3), spark.createDataFrame([(i, 1, 0, "t") for i in range(150)], LABELS)
+    ratios = [math.sin(b) for b in range(quality.BUCKETS)]
+    scores = sorted(sum(ratios[g] for g in grams(t)) / len(grams(t)) for _, t, *_ in docs)
+    want = scores[1] + 0.49 * (scores[2] - scores[1])
+    assert math.isclose(quality.held_out_threshold(*frames, [quality._table(ratios)] * quality.FOLDS), want, rel_tol=1e-9)
