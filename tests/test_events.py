@@ -152,3 +152,28 @@ def test_documents_round_trip_with_facets(spark, env_dim, tmp_path):
     assert synced["namespace"] == "iceberg://tableflow" and "facets" not in synced
     again = run_events.event_datasets_of(run_events.read_run_events(spark, str(tmp_path / "ev")))
     assert rows(again, "job_name", "side", "dataset_name") == rows(datasets, "job_name", "side", "dataset_name")
+
+
+def test_documents_of_small_jobs_need_one_join(spark, tmp_path):
+    """The datasets are read once and joined once with the run ids; no count goes to jobs that fit one document."""
+    events.event_datasets(hot_graph(spark, 20)).write.parquet(str(tmp_path / "datasets"))
+    datasets = spark.read.parquet(str(tmp_path / "datasets"))
+    events.job_events(datasets, "c").write.parquet(str(tmp_path / "jobs"))
+    jobs = spark.read.parquet(str(tmp_path / "jobs"))
+    docs = events.run_event_documents(jobs, datasets, cycle="c", event_time="t", producer="p")
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and plan.count("Join ") == 1
+    assert docs.count() == 41 and {(r.run.part, r.run.parts) for r in docs.collect()} == {(0, 1)}
+
+
+def test_rows_of_a_large_job_are_joined_by_part(spark):
+    datasets = events.event_datasets(hot_graph(spark, 300))
+    docs = events.run_event_documents(events.job_events(datasets, "c"), datasets, cycle="c", event_time="t", producer="p", datasets_per_document=50)
+    joins = [line for line in docs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert any("(part#" in line for line in joins)
+
+
+def test_json_text_of_documents_is_parsed_once(spark):
+    from tributary.plans.registered import QUERIES
+    plan = QUERIES["F18_run_event_json"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and plan.count("from_json(") == 1
