@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +78,70 @@ def test_rows_in_any_order_within_the_lag(spark, tmp_path):
     feed.land([(1, "a", "late", "1")], [(30, "", True)])
     assert feed.run(2, "3 minutes") == [
         (1, "a", "x", "EMIT"), (1, "a", "y", "EMIT"), (2, "a", "x", "SKIP"), (2, "a", "y", "ABORT"), (3, "a", "x", "ABORT"), (4, "a", "x", "EMIT")]
+
+
+def test_open_cycles_stay_in_their_blocks(spark, tmp_path, monkeypatch):
+    """Rows of five open cycles are each written once and read once, in blocks, however many cycles end after them."""
+    calls = []
+
+    class Map(dict):
+        def __init__(self, name):
+            self.name = name
+
+        def containsKey(self, key):
+            return key in self
+
+        def getValue(self, key):
+            calls.append(("get", self.name, key))
+            return self[key]
+
+        def updateValue(self, key, value):
+            calls.append(("put", self.name, key))
+            self[key] = value
+
+        def removeKey(self, key):
+            self.pop(key, None)
+
+    class Value:
+        def __init__(self):
+            self.value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def getMapState(self, name, *_):
+            return Map(name)
+
+        def getValueState(self, name, *_):
+            return Value()
+
+        def registerTimer(self, at):
+            pass
+
+    class Timer:
+        def __init__(self, at):
+            self.at = at
+
+        def getExpiryTimeInMs(self):
+            return self.at
+
+    monkeypatch.setattr(keyed, "BLOCK", 4)
+    group = keyed.CycleDiff()
+    group.init(Handle())
+    rows = pd.DataFrame([(c, c * 1000, f"j{k}", "x" if k else str(c), True) for c in range(1, 6) for k in range(10)],
+                        columns=["cycle", "at_ms", "name", "fp", "ok"])
+    list(group.handleInputRows(("a", 0), iter([rows[:25], rows[25:]]), None))
+    out = pd.concat([part for c in range(1, 6) for part in group.handleExpiredTimer(("a", 0), None, Timer(c * 1000))])
+    assert dict(out.groupby("cycle").size()) == {c: 10 for c in range(1, 6)}
+    assert dict(out["action"].value_counts()) == {"EMIT": 14, "SKIP": 36}
+    for kind in ("put", "get"):
+        blocks = [key for what, name, key in calls if (what, name) == (kind, "rows")]
+        assert len(blocks) == len(set(blocks)) <= 20
+    assert not group._rows and not group._row_blocks
