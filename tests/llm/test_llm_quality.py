@@ -148,3 +148,24 @@ def test_threshold_is_the_quantile_of_all_scores(spark):
     scores = sorted(sum(ratios[g] for g in grams(t)) / len(grams(t)) for _, t, *_ in docs)
     want = scores[1] + 0.49 * (scores[2] - scores[1])
     assert math.isclose(quality.held_out_threshold(*frames, [quality._table(ratios)] * quality.FOLDS), want, rel_tol=1e-9)
+
+
+def test_scores_cost_one_pass_over_the_words(spark, monkeypatch):
+    """No plan that is run finds the words of a text, or their grams, more than once."""
+    plans = []
+    keep = quality.Steps.keep
+    monkeypatch.setattr(quality.Steps, "keep", lambda self, df, *a: plans.append(df) or keep(self, df, *a))
+    docs = spark.createDataFrame([(i, f"w{i % 7} x y z " * 5, "x", 1, None) for i in range(130)], KINDS)
+    labels = spark.createDataFrame([(i, 1, 0, "t") for i in range(130)], LABELS)
+    table = quality._table([0.5] * 4)
+    quality.held_out_threshold(docs, labels, [table] * quality.FOLDS)
+    (plan,) = (df._jdf.queryExecution().executedPlan().toString() for df in plans)
+    assert plan.count("split(") == 1 and plan.count("zip_with(") == 1
+
+
+def test_windows_are_equal_where_their_words_are(spark):
+    rng = random.Random(9)
+    docs = [(i, [rng.choice("abc") for _ in range(i)]) for i in range(40)]
+    for r in quality._with_windows(spark.createDataFrame(docs, "id int, words array<string>")).collect():
+        want = [tuple(r.words[i : i + 5]) for i in range(len(r.words) - 4)]
+        assert len(r.windows) == len(want) and len(set(zip(r.windows, want, strict=True))) == len(set(r.windows)) == len(set(want))

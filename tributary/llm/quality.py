@@ -41,11 +41,10 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 _SPACE = r"[\x20\x09-\x0D]+"
-_SPACES = " \t\n\x0b\x0c\r"
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, _SPACE), lambda w: w != "")
+    return F.array_remove(F.split(text, _SPACE), "")
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
@@ -54,13 +53,19 @@ def _with_words(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text")).withColumn("words", words_of(F.col("text")))
 
 
-def repeated_words(words: str, n: str) -> Column:
-    """Words covered by windows that the document holds at least twice."""
-    windows = F.transform(
-        F.sequence(F.lit(0), F.col(n) - WINDOW),
-        lambda i: F.xxhash64(*[F.get(F.col(words), i + k) for k in range(WINDOW)]),
-    )
-    return F.when(F.col(n) >= WINDOW, windows).otherwise(F.array().cast("array<bigint>"))
+def _chained(a: str, b: str, apart: int) -> Column:
+    """Hashes of all elements of a and those `apart` places on in b, as many as b has there."""
+    n = F.greatest(F.size(b) - apart, F.lit(0))
+    return F.zip_with(F.slice(a, 1, n), F.slice(b, apart + 1, n), lambda x, y: F.xxhash64(x, y))
+
+
+def _with_windows(words: DataFrame) -> DataFrame:
+    """The rows with `windows`, hashes of every WINDOW words of `words`: of words, two, four and five of them, so no word
+    is hashed twice."""
+    hashed = words.withColumn("ones", F.transform("words", lambda w: F.xxhash64(w)))
+    hashed = hashed.withColumn("twos", _chained("ones", "ones", 1))
+    hashed = hashed.withColumn("fours", _chained("twos", "twos", 2)).drop("twos")
+    return hashed.withColumn("windows", _chained("fours", "ones", 4)).drop("ones", "fours")
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
@@ -68,14 +73,13 @@ def base_columns(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = _with_words(docs).select(
         "row", "words", F.size("words").alias("n"), lines.alias("lines"),
-        F.length(F.translate("text", _SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", f"[{SYMBOLS}]", ""))).cast("long").alias("n_symbols"),
     )
-    hashed = counted.select(
+    hashed = _with_windows(counted.select(
         "row", "words", "n", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words("words", "n").alias("windows"),
-    )
+    ))
     # Most documents repeat no window; the others sort theirs, so equal ones are neighbours.
     ordered = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     ordered = F.when(F.size("windows") > F.size(F.array_distinct("windows")), ordered)
@@ -135,7 +139,12 @@ def _marked(docs: DataFrame, labels: DataFrame, how: str) -> DataFrame:
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[list[float]]:
     """For every bucket the log of trusted over corpus probability: with all trusted documents, then
     without those of each fold. The counts, one row a bucket, meet on the driver: one pass gives all sums."""
-    grams = _marked(docs, labels, "left").select("trusted", "fold", F.explode(F.concat(bucket_array("words", buckets), F.array().cast("array<int>"))).alias("bucket"))
+    after = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(1)))
+    both = F.inline(F.arrays_zip(F.concat("words", F.array().cast("array<string>")), after)).alias("word", "next")
+    # As rows, words and pairs are hashed in generated code; the last word of a document leads no pair.
+    hashes = F.array(F.xxhash64("word"), F.when(F.col("next").isNotNull(), F.xxhash64("word", "next")))
+    rows = _marked(docs, labels, "left").select("trusted", "fold", both).select("trusted", "fold", F.explode(hashes).alias("hash"))
+    grams = rows.where("hash IS NOT NULL").select("trusted", "fold", F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"))
     without = [F.count_if(F.col("trusted") & (F.col("fold") != k)) for k in range(FOLDS)]
     counts = grams.groupBy("bucket").agg(F.count("*"), F.count_if("trusted"), *without).collect()
     every, *sides = ([0] * buckets for _ in range(2 + FOLDS))
@@ -157,15 +166,20 @@ def _table(ratios: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
 
 
+def _mean_of(grams: str, table: Column) -> Column:
+    return F.aggregate(grams, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.size(grams)
+
+
 def held_out_threshold(docs: DataFrame, labels: DataFrame, tables: list[Column]) -> float:
     """The QUANTILE of the scores of trusted documents, each under the table without its fold: the two scores that it
     lies between come from a sort by ranges, so no task holds all of them."""
-    trusted = _marked(docs, labels, "inner").where(F.size("words") >= LEAST_WORDS)
-    grams = trusted.select("fold", bucket_array("words").alias("grams"))
-    table = F.element_at(F.array(*tables), F.col("fold") + 1)
-    total = F.aggregate("grams", F.lit(0.0), lambda s, b: s + F.get(F.col("table"), b))
+    marked = _marked(docs, labels, "inner")
+    grams = marked.select("fold", (F.size("words") >= LEAST_WORDS).alias("counts"), bucket_array("words").alias("grams"))
+    # A branch for each fold: a table as a column would be copied for every document.
+    score = F.coalesce(*[F.when(F.col("counts") & (F.col("fold") == k), _mean_of("grams", table)) for k, table in enumerate(tables)])
     steps = Steps(docs.sparkSession)
-    scores = steps.keep(grams.withColumn("table", table).select((total / F.size("grams")).alias("score")).where("score IS NOT NULL"), "held-scores")
+    # What is not scored goes when the scores are read: a filter before would find words and grams a second time.
+    scores = steps.keep(grams.select(score.alias("score")), "held-scores").where("score IS NOT NULL")
     n, cut = scores.count(), THRESHOLD
     if n >= LEAST_HELD:
         at = QUANTILE * (n - 1)
@@ -185,8 +199,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -
     based = base_columns(docs)
     lowered = based.withColumn("words", F.transform("words", F.lower))
     grams = lowered.withColumn("grams", bucket_array("words")).drop("words")
-    total = F.aggregate("grams", F.lit(0.0), lambda s, b: s + F.get(table, b))
-    mean = grams.withColumn("score", F.when(F.size("grams") > 0, total / F.size("grams"))).drop("grams")
+    mean = grams.withColumn("score", F.when(F.size("grams") > 0, _mean_of("grams", table))).drop("grams")
     return mean.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
 
 
