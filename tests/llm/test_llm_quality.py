@@ -159,8 +159,22 @@ def test_scores_cost_one_pass_over_the_words(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 1, 0, "t") for i in range(130)], LABELS)
     table = quality._table([0.5] * 4)
     quality.held_out_threshold(docs, labels, [table] * quality.FOLDS)
-    (plan,) = (df._jdf.queryExecution().executedPlan().toString() for df in plans)
-    assert plan.count("split(") == 1 and plan.count("zip_with(") == 1
+    plan = plans[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("xxhash64(word") == 2
+
+
+def test_plans_of_the_threshold_hold_one_table_at_most(spark, monkeypatch):
+    """The driver keeps and tells of every plan as text, anew with each stage."""
+    plans = []
+    keep = quality.Steps.keep
+    monkeypatch.setattr(quality.Steps, "keep", lambda self, df, *a: plans.append(df) or keep(self, df, *a))
+    docs = spark.createDataFrame([(i, f"w{i % 7} x y z " * 5, "x", 1, None) for i in range(130)], KINDS)
+    labels = spark.createDataFrame([(i, 1, 0, "t") for i in range(130)], LABELS)
+    tables = [quality._table([k + 0.125] * quality.BUCKETS) for k in range(quality.FOLDS)]
+    quality.held_out_threshold(docs, labels, tables)
+    texts = [df._jdf.queryExecution().executedPlan().toString() for df in plans]
+    assert all(sum(f"{k}.125" in text for k in range(quality.FOLDS)) <= 1 for text in texts)
+    assert len(texts[-1]) < 20_000
 
 
 def test_windows_are_equal_where_their_words_are(spark):

@@ -23,6 +23,7 @@ trusted side is flat. Columns other than doc_id, text (and doc_id, quality, toxi
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,15 +137,20 @@ def _marked(docs: DataFrame, labels: DataFrame, how: str) -> DataFrame:
     return marked.select(trusted.alias("trusted"), F.when(trusted, _fold()).alias("fold"), words_of(F.col("text")).alias("words"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[list[float]]:
-    """For every bucket the log of trusted over corpus probability: with all trusted documents, then
-    without those of each fold. The counts, one row a bucket, meet on the driver: one pass gives all sums."""
+def _gram_rows(marked: DataFrame, *columns: str, buckets: int = BUCKETS) -> DataFrame:
+    """columns, bucket: a row for each word and each pair. As rows they are hashed in generated code; the last word of
+    a document leads no pair."""
     after = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(1)))
     both = F.inline(F.arrays_zip(F.concat("words", F.array().cast("array<string>")), after)).alias("word", "next")
-    # As rows, words and pairs are hashed in generated code; the last word of a document leads no pair.
     hashes = F.array(F.xxhash64("word"), F.when(F.col("next").isNotNull(), F.xxhash64("word", "next")))
-    rows = _marked(docs, labels, "left").select("trusted", "fold", both).select("trusted", "fold", F.explode(hashes).alias("hash"))
-    grams = rows.where("hash IS NOT NULL").select("trusted", "fold", F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"))
+    rows = marked.select(*columns, both).select(*columns, F.explode(hashes).alias("hash"))
+    return rows.where("hash IS NOT NULL").select(*columns, F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"))
+
+
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[list[float]]:
+    """For every bucket the log of trusted over corpus probability: with all trusted documents, then
+    without those of each fold. The counts, one row a bucket, meet on the driver: one pass gives all sums."""
+    grams = _gram_rows(_marked(docs, labels, "left"), "trusted", "fold", buckets=buckets)
     without = [F.count_if(F.col("trusted") & (F.col("fold") != k)) for k in range(FOLDS)]
     counts = grams.groupBy("bucket").agg(F.count("*"), F.count_if("trusted"), *without).collect()
     every, *sides = ([0] * buckets for _ in range(2 + FOLDS))
@@ -166,27 +172,28 @@ def _table(ratios: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
 
 
-def _mean_of(grams: str, table: Column) -> Column:
-    return F.aggregate(grams, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.size(grams)
-
-
 def held_out_threshold(docs: DataFrame, labels: DataFrame, tables: list[Column]) -> float:
     """The QUANTILE of the scores of trusted documents, each under the table without its fold: the two scores that it
     lies between come from a sort by ranges, so no task holds all of them."""
-    marked = _marked(docs, labels, "inner")
-    grams = marked.select("fold", (F.size("words") >= LEAST_WORDS).alias("counts"), bucket_array("words").alias("grams"))
-    # A branch for each fold: a table as a column would be copied for every document.
-    score = F.coalesce(*[F.when(F.col("counts") & (F.col("fold") == k), _mean_of("grams", table)) for k, table in enumerate(tables)])
-    steps = Steps(docs.sparkSession)
-    # What is not scored goes when the scores are read: a filter before would find words and grams a second time.
-    scores = steps.keep(grams.select(score.alias("score")), "held-scores").where("score IS NOT NULL")
+    spark = docs.sparkSession
+    steps, ratios = Steps(spark), []
+    for k, table in enumerate(tables):
+        # Written one by one: as constants of the plan below, all would be in every event that tells of it to the driver.
+        ratios.append(steps.keep(spark.range(1).select(F.lit(k).alias("fold"), F.posexplode(table).alias("bucket", "ratio")), f"ratios-{k}"))
+    numbered = _marked(docs, labels, "inner").select("fold", "words", F.monotonically_increasing_id().alias("row"), F.size("words").alias("n"))
+    grams = _gram_rows(numbered, "fold", "row", "n").join(F.broadcast(reduce(DataFrame.union, ratios)), ["fold", "bucket"])
+    # The grams of a row lie side by side, so a row's sum is made before anything is shuffled.
+    sums = grams.groupBy("row", "n").agg(F.sum("ratio").alias("total"), F.count("*").alias("grams"))
+    # Short ones go when the scores are read: a filter before would find the words a second time.
+    scores = steps.keep(sums.select("n", (F.col("total") / F.col("grams")).alias("score")), "held-scores")
+    scores = scores.where(F.col("n") >= LEAST_WORDS).select("score")
     n, cut = scores.count(), THRESHOLD
     if n >= LEAST_HELD:
         at = QUANTILE * (n - 1)
         low = math.floor(at)
         pair = [r.score for r in scores.orderBy("score").offset(low).limit(2).collect()]
         cut = pair[0] + (at - low) * (pair[-1] - pair[0])
-    steps.drop("held-scores")
+    steps.drop("held-scores", *[f"ratios-{k}" for k in range(len(tables))])
     return cut
 
 
@@ -199,7 +206,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -
     based = base_columns(docs)
     lowered = based.withColumn("words", F.transform("words", F.lower))
     grams = lowered.withColumn("grams", bucket_array("words")).drop("words")
-    mean = grams.withColumn("score", F.when(F.size("grams") > 0, _mean_of("grams", table))).drop("grams")
+    total = F.aggregate("grams", F.lit(0.0), lambda s, b: s + F.get(table, b))
+    mean = grams.withColumn("score", F.when(F.size("grams") > 0, total / F.size("grams"))).drop("grams")
     return mean.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
 
 
