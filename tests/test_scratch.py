@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.plans import cycle as plan
+from tributary.plans import registered
 from tributary.session import drop, scratch_path, scratch_tables, write_and_reload
 from tributary.sources import run_events
 
@@ -64,3 +65,13 @@ def test_a_cycle_leaves_its_documents_and_its_state(spark, env_dim, tmp_path):
     files = glob.glob(f"{docs}/cycle=1/part-*")
     assert files and all(f.endswith(".json.gz") for f in files)
     assert run_events.read_run_events(spark, docs).count() == 20
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data here")
+def test_a_search_by_seed_leaves_what_its_answer_is_read_from(spark):
+    written = os.path.dirname(scratch_path(spark, "any")).removeprefix("file:")
+    before = set(glob.glob(f"{written}/*"))
+    answer = registered.QUERIES["G2_reach_by_seed"](spark, "/root/testdata/sf0.001")
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in set(glob.glob(f"{written}/*")) - before}
+    assert left and not left & {"edges", "datasets", "adjacency", "links", "steps", "kinds", "groups"}
+    assert answer.count() > 0
